@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from reviewmill.operators.joins import attach_totals
 from reviewmill.session import materialise
 
 HOT_ROWS = 5_000_000  # one sorted task of this many narrow rows is still comfortable
@@ -95,10 +96,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
 
 
 def split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None = None, base: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
-    """(cold rows, hot rows or None). Keys must not be null."""
-    hot = materialise(hot_keys(df, keys, hot_rows))
+    """(cold rows, hot rows or None). Keys must not be null.
+
+    ``base`` may name a cheaper frame with the same rows per key to count on.
+    """
+    hot = materialise(hot_keys(df if base is None else base, keys, hot_rows))
     if hot.isEmpty():
         return df, None
     return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi")
@@ -134,6 +138,7 @@ def sliding(
     exprs: Callable[[W], dict[str, Column]],
     hot_rows: int | None = None,
     block_rows: int | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Adds columns computed over the last ``width`` rows of each key.
 
@@ -143,7 +148,7 @@ def sliding(
     rows before it.
     """
     block_rows = BLOCK_ROWS if block_rows is None else block_rows
-    cold, hot = split_hot(df, keys, hot_rows)
+    cold, hot = split_hot(df, keys, hot_rows, base)
     plain = cold.select("*", *[c.alias(n) for n, c in exprs(W.partitionBy(*keys).orderBy(*order)).items()])
     if hot is None:
         return plain
@@ -164,22 +169,6 @@ def sliding(
     return plain.unionByName(done)
 
 
-def percentile_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Distinct (keys, value) with the average-rank percentile of the value.
-
-    ``pct = (rows below + (copies + 1) / 2) / rows``, nulls left out.
-    """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    cum = group_totals(counts, keys, value, {"__cum": F.col("__n")})
-    if keys:
-        total = cum.groupBy(*keys).agg(F.max("__cum").alias("__all"))
-        cum = cum.join(total, list(keys))
-    else:
-        cum = cum.crossJoin(F.broadcast(cum.agg(F.max("__cum").alias("__all"))))
-    pct = (F.col("__cum") - F.col("__n") + (F.col("__n") + 1) / F.lit(2.0)) / F.col("__all")
-    return cum.select(*keys, value, pct.alias(name))
-
-
 def unpivot(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Long form (keys, column, value as double); nulls and NaN are dropped."""
     pairs = F.explode(
@@ -192,27 +181,54 @@ def unpivot(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFram
     )
 
 
-def quantiles(long: DataFrame, keys: Sequence[str], qs: dict[str, float]) -> DataFrame:
-    """Exact linear-interpolation quantiles of ``value`` per key.
+def distribution(long: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, value, copies, cum, rows): counts per distinct value with running and grand totals.
 
-    Counts per distinct value first, then running counts, then the two order
-    statistics around each quantile. No group is held whole by any task.
+    The one pass over the data behind ranks, quantiles, moments and outlier
+    counts. Copies of a value collapse before the shuffle; the result is stored,
+    so everything derived from it reads the small table.
     """
     keys = list(keys)
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("__n"))
-    cum = group_totals(counts, keys, "value", {"__cum": F.col("__n")})
-    totals = cum.groupBy(*keys).agg(F.max("__cum").alias("__all"))
-    joined = cum.join(totals, keys) if keys else cum.crossJoin(F.broadcast(totals))
+    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("copies"))
+    cum = group_totals(counts, keys, "value", {"cum": F.col("copies")})
+    totals = cum.groupBy(*keys).agg(F.max("cum").alias("rows"))
+    joined = cum.join(totals, keys) if keys else attach_totals(cum, totals)
+    return joined.select(*keys, "value", "copies", "cum", "rows")
+
+
+def rank_percent() -> Column:
+    """Average-rank percentile over a ``distribution``: (rows below + (copies + 1) / 2) / rows."""
+    return (F.col("cum") - F.col("copies") + (F.col("copies") + 1) / F.lit(2.0)) / F.col("rows")
+
+
+def quantiles(dist: DataFrame, keys: Sequence[str], qs: dict[str, float]) -> DataFrame:
+    """Exact linear-interpolation quantiles per key, from the two order statistics around each."""
     aggs = []
     for name, q in qs.items():
-        position = F.lit(float(q)) * (F.col("__all") - 1)
+        position = F.lit(float(q)) * (F.col("rows") - 1)
         for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            held = (F.col("__cum") - F.col("__n") <= rank) & (rank < F.col("__cum"))
+            held = (F.col("cum") - F.col("copies") <= rank) & (rank < F.col("cum"))
             aggs.append(F.max(F.when(held, F.col("value"))).alias(f"__{name}_{side}"))
-    picked = joined.groupBy(*keys).agg(F.max("__all").alias("__all"), *aggs)
+    picked = dist.groupBy(*keys).agg(F.max("rows").alias("rows"), *aggs)
     out = []
     for name, q in qs.items():
-        position = F.lit(float(q)) * (F.col("__all") - 1)
+        position = F.lit(float(q)) * (F.col("rows") - 1)
         low, high = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
         out.append((low + (high - low) * (position - F.floor(position))).alias(name))
     return picked.select(*keys, *out)
+
+
+def moments(dist: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, n, mean, std, min, max) of a distribution; sample standard deviation, null for n = 1."""
+    value, copies = F.col("value"), F.col("copies")
+    mean = F.sum(value * copies) / F.sum(copies)
+    first = dist.groupBy(*keys).agg(
+        F.sum("copies").alias("n"), mean.alias("mean"), F.min("value").alias("min"), F.max("value").alias("max")
+    )
+    centred = dist.join(first.select(*keys, "mean"), list(keys)) if keys else attach_totals(dist, first.select("mean"))
+    spread = centred.groupBy(*keys).agg(
+        F.sum(copies * (value - F.col("mean")) * (value - F.col("mean"))).alias("__ss"), F.sum("copies").alias("__n")
+    )
+    std = F.sqrt(F.try_divide("__ss", F.col("__n") - 1))
+    joined = first.join(spread, list(keys)) if keys else attach_totals(first, spread)
+    return joined.select(*keys, "n", "mean", std.alias("std"), "min", "max")

@@ -69,6 +69,13 @@ from reviews group by 1"""),
 select asin, count(*) as product_review_count, avg(overall) as product_avg_rating,
   stddev_samp(overall) as product_rating_std
 from reviews group by 1"""),
+    "profile": (("frame", "user_stats", "product_stats"), """
+select f.*, user_review_count, product_review_count,
+  case when user_review_count >= 50 then 'expert' when user_review_count >= 10 then 'intermediate'
+    else 'beginner' end as user_experience,
+  case when product_review_count >= 35 then 'high' when product_review_count >= 25 then 'medium'
+    else 'low' end as product_popularity
+from frame f join user_stats u on f."reviewerID" = u."reviewerID" join product_stats p on f.asin = p.asin"""),
     "raw_reviews": ((), """
 select case when doc_id % 37 = 5 then lower(concat('a', pad)) when doc_id % 41 = 7 then null
             else concat('A', pad) end as "reviewerID",

@@ -1,8 +1,9 @@
-"""Session construction and lineage cuts."""
+"""Session construction and intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,23 +34,28 @@ def build_session(app: str = "reviewmill", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Point checkpoints at the cluster's shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that every executor can read.
 
     ``spark.checkpoint.dir`` wins. Only a session without it (a test on one
     machine) gets a temporary folder of its own.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="reviewmill-ckpt-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="reviewmill-"))
+    return context.getCheckpointDir()
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and read it back with fixed row placement.
+    """Writes ``df`` to the shared folder and reads it back.
 
-    Anything that depends on row placement (partition ids, generated row ids)
-    must come after this, so that a lost executor replays the same rows.
+    Cuts the lineage and fixes row placement: whatever depends on placement
+    (partition ids, generated row ids) must come out of or after this, so that
+    a lost executor replays the same rows. Parquet keeps column pruning, and
+    its file sizes let the planner decide on broadcasts from facts.
     """
-    use_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

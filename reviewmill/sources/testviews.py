@@ -72,6 +72,20 @@ def frame(spark: SparkSession, sf_dir: str, intensity: bool = False) -> DataFram
     )
 
 
+def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``frame`` with review counts and buckets of user and product (cuts that fit the tables)."""
+    df = frame(spark, sf_dir)
+    users = df.groupBy("reviewerID").agg(F.count(F.lit(1)).alias("user_review_count"))
+    products = df.groupBy("asin").agg(F.count(F.lit(1)).alias("product_review_count"))
+    out = df.join(users, "reviewerID", "left").join(products, "asin", "left")
+    return out.withColumns(
+        {
+            "user_experience": scores.experience(F.col("user_review_count")),
+            "product_popularity": scores.popularity(F.col("product_review_count"), 35, 25),
+        }
+    )
+
+
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw record per document, with every kind of dirt the cleaning removes."""
     d = F.col("doc_id")
