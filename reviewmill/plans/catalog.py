@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from reviewmill.plans import etl_queries, feature_queries, quality_queries
+from reviewmill.plans import etl_queries, experiment_queries, feature_queries, quality_queries
 from reviewmill.plans.registry import Query
 
-MODULES = (etl_queries, feature_queries, quality_queries)
+MODULES = (etl_queries, feature_queries, quality_queries, experiment_queries)
 
 
 def queries() -> dict[str, Query]:
