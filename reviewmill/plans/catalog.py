@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
-from reviewmill.plans import etl_queries, experiment_queries, feature_queries, quality_queries
+from reviewmill.plans import (
+    etl_queries,
+    experiment_queries,
+    feature_queries,
+    model_queries,
+    quality_queries,
+    recommend_queries,
+)
 from reviewmill.plans.registry import Query
 
-MODULES = (etl_queries, feature_queries, quality_queries, experiment_queries)
+MODULES = (
+    recommend_queries,
+    etl_queries,
+    quality_queries,
+    feature_queries,
+    experiment_queries,
+    model_queries,
+)
 
 
 def queries() -> dict[str, Query]:

@@ -30,7 +30,7 @@ def event_stream(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     # Event-time operators want an instant; the wall clock is read as UTC.
-    return reader.parquet(folder).withColumn("ts", F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
+    return reader.parquet(folder).withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
 
 
 def metric_windows(events: DataFrame, window: str, lateness: str, split: float = 0.5) -> DataFrame:
