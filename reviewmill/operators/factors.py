@@ -38,6 +38,7 @@ class Indexed:
 
 
 def index_ratings(ratings: DataFrame) -> Indexed:
+    ratings = materialise(ratings)
     users, items = index_ids(ratings, "reviewerID", "user"), index_ids(ratings, "asin", "item")
     joined = ratings.join(users, "reviewerID").join(items, "asin").select("user", "item", "overall")
     return Indexed(materialise(joined), users, items)
@@ -259,6 +260,7 @@ def train_ncf(
     popular: int = 100,
 ) -> Neural:
     """Embeddings by ALS on the 0/1 target, then the perceptron on the same pairs."""
+    df = materialise(df.select(*dict.fromkeys(["reviewerID", "asin", "overall", *order])))
     ratings = materialise(
         interactions(df, order).withColumn("label", F.when(F.col("overall") >= LIKED, 1.0).otherwise(0.0))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.operators import neighbours, ordered
 from reviewmill.operators.joins import attach_totals
+from reviewmill.session import materialise
 
 LIKED = 4  # a rating from here on counts as a positive interaction
 
@@ -145,6 +146,7 @@ def route_recommendations(
 
 def user_knn(ratings: DataFrame, k: int = 20) -> DataFrame:
     """(reviewerID, neighbour, similarity, rank): nearest users by cosine of their rating rows."""
+    ratings = materialise(ratings.select("reviewerID", "asin", "overall"))
     users = index_ids(ratings, "reviewerID", "id")
     items = index_ids(ratings, "asin", "item")
     entries = (

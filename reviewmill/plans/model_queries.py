@@ -10,6 +10,7 @@ from reviewmill.operators import metrics, models, recommend
 from reviewmill.plans.recommend_queries import _SCORED, KEYS, _scored
 from reviewmill.plans.registry import Catalog, rounded
 from reviewmill.plans.views import sql
+from reviewmill.session import materialise
 from reviewmill.sources import testviews as tv
 
 catalog = Catalog()
@@ -20,7 +21,8 @@ def _labelled(spark, sf_dir):
     """Text features and language of the labelled documents; label = quality."""
     docs = tv.document_features(spark, sf_dir).join(tv.table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
     labels = tv.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    return docs.join(labels, "doc_id")
+    # Written once: every fit below passes over it many times.
+    return materialise(docs.join(labels, "doc_id"))
 
 
 def _parts(spark, sf_dir):
@@ -122,6 +124,7 @@ def regression_compare(spark, sf_dir):
     train, test = recommend.hash_split(tv.frame(spark, sf_dir), KEYS)
     numeric = ["word_count", "helpfulness_ratio", "user_review_count", "user_avg_rating", "product_review_count",
                "product_avg_rating"]
+    train = materialise(train)
     ready = models.attach_train_stats(train, train).withColumn("label", F.col("overall"))
     held = models.attach_train_stats(test, train).withColumn("label", F.col("overall"))
     return models.train_all(ready, held, "regression", numeric, folds=2)[1]

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewmill.operators import factors, layout, neighbours, recommend
+from reviewmill.operators import factors, layout, recommend
 from reviewmill.operators.metrics import regression_metrics
-from reviewmill.plans.etl_queries import TIES_ASC, TIES_DESC
+from reviewmill.plans.etl_queries import TIES_DESC
 from reviewmill.plans.registry import Catalog, r6, rounded
 from reviewmill.plans.views import sql
-from reviewmill.session import materialise
 from reviewmill.sources import testviews as tv
 
 catalog = Catalog()
@@ -384,12 +383,12 @@ def partition_skew(spark, sf_dir):
 
 
 @catalog.add("partition_by_category", sql("""
-select count(*) as partitions, sum(n)::bigint as total_rows, min(n) as min_rows, max(n) as max_rows, avg(n) as avg_rows
-from (select category, count(*) as n from reviews group by 1)""", "reviews"))
+select category, 1::bigint as partitions, count(*) as rows from reviews group by 1""", "reviews"))
 def partition_by_category(spark, sf_dir):
-    # Two categories, range-partitioned: each fills exactly one partition.
-    df = layout.repartition_by(tv.reviews(spark, sf_dir), "range", 2, "category")
-    return layout.partition_skew(df).drop("skew_ratio", "is_skewed")
+    # After a hash repartition every category sits in exactly one partition.
+    df = layout.repartition_by(tv.reviews(spark, sf_dir), "hash", 8, "category")
+    per = df.groupBy("category", F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("category").agg(F.count(F.lit(1)).alias("partitions"), F.sum("n").alias("rows"))
 
 
 @catalog.add("layout_advice")
