@@ -24,8 +24,16 @@ POSITIVE_WORDS = ("excellent", "amazing", "perfect", "love", "great", "awesome",
 NEGATIVE_WORDS = ("terrible", "awful", "hate", "worst", "disappointed", "bad", "poor", "horrible")
 
 
+# The same characters as a plain string, for trimming without a pattern.
+SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def clean_text(text: Column) -> Column:
@@ -33,31 +41,34 @@ def clean_text(text: Column) -> Column:
 
     Line breaks and tabs are deleted before spaces collapse, so "a\\nb" becomes "ab".
     """
-    ascii_only = F.regexp_replace(strip(text), r"[^\x20-\x7E]", "")
-    return F.coalesce(F.regexp_replace(ascii_only, " +", " "), F.lit(""))
+    ascii_only = F.regexp_replace(strip(text), r"[^\x20-\x7E]+", "")
+    return F.coalesce(F.regexp_replace(ascii_only, " {2,}", " "), F.lit(""))
 
 
 def clean_text_basic(text: Column) -> Column:
     """The short variant: delete outside printable ASCII and trim, spaces kept."""
-    return F.trim(F.regexp_replace(text, r"[^\x20-\x7E]", ""))
+    return F.trim(F.regexp_replace(text, r"[^\x20-\x7E]+", ""))
 
 
-def tokens(text: Column) -> Column:
-    """White-space tokens without empty ones; null gives an empty array."""
-    parts = F.split(F.coalesce(text, F.lit("")), f"{SPACE}+")
-    return F.filter(parts, lambda t: t != "")
+def tokens(text: Column, cleaned: bool = False) -> Column:
+    """White-space tokens without empty ones; null gives an empty array.
+
+    Cleaned text has no white space but the blank, which splits without a pattern.
+    """
+    parts = F.split(F.coalesce(text, F.lit("")), " " if cleaned else f"{SPACE}+")
+    return F.array_remove(parts, "")
 
 
-def word_count(text: Column, mode: str = "whitespace") -> Column:
+def word_count(text: Column, mode: str = "whitespace", cleaned: bool = False) -> Column:
     """Number of words; ``mode="space"`` counts pieces between single spaces ('' has one)."""
     if mode == "space":
         return F.size(F.split(text, " "))
-    return F.size(tokens(text))
+    return F.size(tokens(text, cleaned))
 
 
-def text_features(text: Column) -> dict[str, Column]:
+def text_features(text: Column, cleaned: bool = False) -> dict[str, Column]:
     """word_count, char_count and characters per word (spaces count)."""
-    words, chars = word_count(text), F.length(F.coalesce(text, F.lit("")))
+    words, chars = word_count(text, cleaned=cleaned), F.length(F.coalesce(text, F.lit("")))
     return {
         "word_count": words,
         "char_count": chars,
@@ -85,11 +96,11 @@ def is_spam(
     )
 
 
-def text_complexity(text: Column) -> Column:
+def text_complexity(text: Column, cleaned: bool = False) -> Column:
     """0.5 distinct share + 0.3 word length (10 = full) + 0.2 word count (100 = full)."""
-    words = tokens(text)
+    words = tokens(text, cleaned)
     total = F.size(words)
-    letters = F.aggregate(words, F.lit(0), lambda acc, w: acc + F.length(w))
+    letters = F.length(F.array_join(words, ""))
     score = (
         F.size(F.array_distinct(words)) / total * 0.5
         + F.least(letters / total / 10, F.lit(1.0)) * 0.3
@@ -98,9 +109,9 @@ def text_complexity(text: Column) -> Column:
     return F.when(total > 0, F.least(score, F.lit(1.0))).otherwise(F.lit(0.0))
 
 
-def sentiment_intensity(text: Column) -> Column:
+def sentiment_intensity(text: Column, cleaned: bool = False) -> Column:
     """(positive - negative) / (positive + negative) lexicon hits, 0 without hits."""
-    words = tokens(F.lower(text))
-    good = F.size(F.filter(words, lambda w: w.isin(*POSITIVE_WORDS)))
-    bad = F.size(F.filter(words, lambda w: w.isin(*NEGATIVE_WORDS)))
-    return F.when(good + bad > 0, (good - bad) / (good + bad)).otherwise(F.lit(0.0))
+    # One walk over the tokens keeps the hits; counting them is then cheap.
+    hits = F.filter(tokens(F.lower(text), cleaned), lambda w: w.isin(*POSITIVE_WORDS, *NEGATIVE_WORDS))
+    signs = F.transform(hits, lambda w: F.when(w.isin(*POSITIVE_WORDS), 1).otherwise(-1))
+    return F.coalesce(F.try_divide(F.aggregate(signs, F.lit(0), lambda a, s: a + s), F.size(hits)), F.lit(0.0))

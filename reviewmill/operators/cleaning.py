@@ -80,14 +80,20 @@ def rules(min_unique_ratio: float = 0.1) -> list[tuple[str, Column]]:
     ]
 
 
-def dedup_reviews(df: DataFrame, keys: Sequence[str] = REVIEW_KEY) -> DataFrame:
+def dedup_reviews(df: DataFrame, keys: Sequence[str] = REVIEW_KEY, keep: Column | None = None) -> DataFrame:
     """One row per key: the smallest by content, so the choice never depends on row placement.
 
     An aggregate rather than a window: copies shrink before the shuffle, so a
-    key that owns a third of all rows costs one row per map task.
+    key that owns a third of all rows costs one row per map task. Rows that
+    fail ``keep`` take no part; judging them here, behind the projection,
+    evaluates an expensive condition once instead of pushing copies of it
+    down into the scan.
     """
     rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__row"))
+    row = F.struct(*rest)
+    best = df.groupBy(*keys).agg(F.min(row if keep is None else F.when(keep, row)).alias("__row"))
+    if keep is not None:
+        best = best.filter(F.col("__row").isNotNull())
     return best.select(*keys, "__row.*").select(*df.columns)
 
 
@@ -96,7 +102,7 @@ def add_derived(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "review_length": F.length("reviewText"),
-            "review_word_count": text.word_count(F.col("reviewText")),
+            "review_word_count": text.word_count(F.col("reviewText"), cleaned=True),
             "helpful_votes": F.element_at("helpful", 1),
             "total_votes": F.element_at("helpful", 2),
             "helpful_ratio": scores.helpfulness_ratio(F.element_at("helpful", 1), F.element_at("helpful", 2)),
@@ -110,12 +116,17 @@ def add_derived(df: DataFrame) -> DataFrame:
 
 
 def clean_reviews(df: DataFrame, min_unique_ratio: float = 0.1) -> DataFrame:
-    """All steps in order, then dedup and derived columns."""
+    """All steps (their order only matters for ``cleaning_stats``), then dedup and derived columns."""
+    steps = dict(rules(min_unique_ratio))
+    # Conditions on ids, rating and time are cheap and reach the scan.
+    cheap = steps["product"] & steps["rating"] & valid_reviewer(F.col("reviewerID")) & valid_time(F.col("unixReviewTime"))
+    judged = normalise(df.filter(cheap))
     keep = F.lit(True)
-    for _, condition in rules(min_unique_ratio):
+    for condition in steps.values():
         keep = keep & condition
-    kept = normalise(df).filter(keep).drop("__had_text")
-    return add_derived(dedup_reviews(kept))
+    judged = judged.withColumn("__keep", keep).drop("__had_text")
+    kept = dedup_reviews(judged, keep=F.col("__keep")).drop("__keep")
+    return add_derived(kept)
 
 
 def cleaning_stats(df: DataFrame, min_unique_ratio: float = 0.1) -> DataFrame:

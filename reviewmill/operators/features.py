@@ -160,8 +160,8 @@ def content_features(df: DataFrame) -> DataFrame:
 def add_text_scores(df: DataFrame, col: str = "reviewText_clean") -> DataFrame:
     return df.withColumns(
         {
-            "text_complexity": text.text_complexity(F.col(col)),
-            "sentiment_intensity": text.sentiment_intensity(F.col(col)),
+            "text_complexity": text.text_complexity(F.col(col), cleaned=True),
+            "sentiment_intensity": text.sentiment_intensity(F.col(col), cleaned=True),
         }
     )
 

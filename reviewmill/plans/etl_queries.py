@@ -49,7 +49,7 @@ def clean_reviews(spark, sf_dir):
       or regexp_matches(t, '(?i)http[s]?://\\S+|www\\.\\S+|click here|buy\\s+now|free\\s+trial|money\\s+back|\\.com')
     ) as is_spam from cleaned_docs""", "cleaned_docs"))
 def spam_flags(spark, sf_dir):
-    docs = tv.table(spark, sf_dir, "documents").select("doc_id", text.clean_text(F.col("text")).alias("t"))
+    docs = tv.documents(spark, sf_dir).select("doc_id", text.clean_text(F.col("text")).alias("t"))
     return docs.select("doc_id", text.is_spam(F.col("t")).alias("is_spam"))
 
 
@@ -81,7 +81,7 @@ select doc_id, md5(t) as text_md5, word_count, char_count, round(avg_word_length
   cast(len(string_split(t, ' ')) as int) as word_count_by_space
 from docs join cleaned_docs using (doc_id)""", "docs"))
 def text_features(spark, sf_dir):
-    docs = tv.table(spark, sf_dir, "documents").select("doc_id", text.clean_text(F.col("text")).alias("t"))
+    docs = tv.documents(spark, sf_dir).select("doc_id", text.clean_text(F.col("text")).alias("t"))
     out = docs.withColumns(text.text_features(F.col("t")))
     return out.select(
         "doc_id", F.md5("t").alias("text_md5"), "word_count", "char_count",
@@ -94,7 +94,7 @@ def text_features(spark, sf_dir):
 select doc_id, md5(b) as text_md5, cast(len(string_split(b, ' ')) as int) as word_count
 from (select doc_id, trim(regexp_replace(text, '[^\x20-\x7E]', '', 'g')) as b from documents)"""))
 def clean_text_basic(spark, sf_dir):
-    docs = tv.table(spark, sf_dir, "documents").select("doc_id", text.clean_text_basic(F.col("text")).alias("b"))
+    docs = tv.documents(spark, sf_dir).select("doc_id", text.clean_text_basic(F.col("text")).alias("b"))
     return docs.select("doc_id", F.md5("b").alias("text_md5"), text.word_count(F.col("b"), "space").alias("word_count"))
 
 

@@ -13,6 +13,12 @@ from reviewmill.schemas import CLEANED_REVIEW
 BAD_LINE = "_bad_line"
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Repartitions a scan that yields fewer tasks than cores (one small or unsplittable file)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, 64) else df
+
+
 def read_reviews(
     spark: SparkSession,
     path: str | list[str],

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions import scores, text
 from reviewmill.operators.joins import attach_totals
+from reviewmill.sources.readers import spread_small
 
 TIES = ("asin", "overall", "helpful_votes", "total_votes", "category", "doc_id")
 
@@ -20,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One review per order line: customer = reviewer, part = product."""
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    lines, orders = spread_small(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "orders")
     docs = table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("__docs"))
     bucket = F.col("l_quantity").cast("int") % 20
     rating = (
@@ -45,15 +46,25 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over the cores when the scan alone gives fewer tasks than that.
+
+    A single-row-group file is one task; a table large enough to matter has
+    more splits than cores and is left as scanned.
+    """
+    docs = table(spark, sf_dir, "documents")
+    return spread_small(docs)
+
+
 def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text features once per document; reviews join them by doc_id."""
-    cleaned = table(spark, sf_dir, "documents").select("doc_id", text.clean_text(F.col("text")).alias("__t"))
+    cleaned = documents(spark, sf_dir).select("doc_id", text.clean_text(F.col("text")).alias("__t"))
     body = F.col("__t")
     return cleaned.select(
         "doc_id",
-        *[c.alias(n) for n, c in text.text_features(body).items()],
-        text.text_complexity(body).alias("text_complexity"),
-        text.sentiment_intensity(body).alias("sentiment_intensity"),
+        *[c.alias(n) for n, c in text.text_features(body, cleaned=True).items()],
+        text.text_complexity(body, cleaned=True).alias("text_complexity"),
+        text.sentiment_intensity(body, cleaned=True).alias("sentiment_intensity"),
     )
 
 
@@ -93,7 +104,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     pad = F.lpad(key.cast("string"), 9, "0")
     seconds = (F.lit(900000000) + key * 86400).cast("long")
     day = scores.epoch_to_timestamp(seconds)
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.when(d % 37 == 5, F.lower(F.concat(F.lit("a"), pad)))
         .when(d % 41 == 7, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("A"), pad))
