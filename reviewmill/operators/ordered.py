@@ -50,14 +50,15 @@ def running_totals(
         *[F.sum(f"__amt_{n}").alias(f"__tot_{n}") for n in amounts]
     )
     earlier = W.partitionBy(*keys).orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)
-    carried = totals.select(
+    # Stored, so that its true size decides between broadcast and shuffle.
+    carried = materialise(totals.select(
         *[F.col(k).alias(f"__key_{k}") for k in keys],
         F.col("__slice").alias("__slice_at"),
         *[
             F.coalesce(F.sum(f"__tot_{n}").over(earlier), F.lit(0)).alias(f"__off_{n}")
             for n in amounts
         ],
-    )
+    ))
     inside = (
         W.partitionBy(*keys, "__slice").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     )

@@ -59,3 +59,9 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_intermediate(spark: SparkSession) -> None:
+    """Deletes this application's intermediate tables; frames built on them are gone afterwards."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tables")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

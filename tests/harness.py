@@ -61,7 +61,7 @@ def compare(spark, con, fn, sql, sf_dir):
 
 if __name__ == "__main__":
     import __spark_entry__ as entry
-    from reviewmill.session import build_session
+    from reviewmill.session import build_session, drop_intermediate
 
     sf = sys.argv[1]
     wanted = sys.argv[2:]
@@ -80,5 +80,6 @@ if __name__ == "__main__":
         except Exception as error:  # report and go on with the next query
             ok, note = False, f"{type(error).__name__}: {str(error)[:1500]}"
         bad += not ok
+        drop_intermediate(spark)
         print("ok  " if ok else "FAIL", name, note if not ok or len(note) < 200 else note[:200], flush=True)
     print("failed:", bad)
