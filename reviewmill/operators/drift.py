@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from reviewmill.operators import ordered
 from reviewmill.session import materialise
 
+# Name of the summary row; ``overall`` is taken, it is the rating column.
+ALL_METRICS = "all_metrics"
+
 
 def _sides(current: DataFrame, reference: DataFrame, pick) -> DataFrame:
     return pick(current).withColumn("__cur", F.lit(1).cast("long")).withColumn("__ref", F.lit(0).cast("long")).unionByName(
@@ -110,7 +113,7 @@ def hellinger_drift(current: DataFrame, reference: DataFrame, cols: Sequence[str
 def drift_report(
     current: DataFrame, reference: DataFrame, numeric: Sequence[str], categorical: Sequence[str], name: str
 ) -> DataFrame:
-    """(dataset, metric, drift_score, drift_detected) per metric and an ``overall`` row."""
+    """(dataset, metric, drift_score, drift_detected) per metric and an ``all_metrics`` row."""
     columns = ["metric", "drift_score", "drift_detected"]
     # One row per compared column; written once because the overall row reads it again.
     metrics = materialise(
@@ -119,7 +122,7 @@ def drift_report(
         .unionByName(hellinger_drift(current, reference, categorical).select(*columns))
     )
     overall = metrics.agg(
-        F.lit("overall").alias("metric"),
+        F.lit(ALL_METRICS).alias("metric"),
         F.avg("drift_score").alias("drift_score"),
         F.coalesce(F.bool_or("drift_detected"), F.lit(False)).alias("drift_detected"),
     )

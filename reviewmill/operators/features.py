@@ -108,13 +108,19 @@ def rating_confidence(user_std: Column, product_std: Column) -> Column:
     return F.when(both(1.5), 1.0).when(both(2.0), 0.7).otherwise(0.3)
 
 
-def interaction_features(df: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
-    """Joins the profiles (with rarity scores) and adds the pairwise products."""
-    out = attach_stats(df, rarity(users, "user_popularity", "user_rarity_score"), "reviewerID")
-    out = attach_stats(out, rarity(products, "product_popularity_count", "product_rarity_score"), "asin")
+def attach_users(df: DataFrame, users: DataFrame) -> DataFrame:
+    return attach_stats(df, rarity(users, "user_popularity", "user_rarity_score"), "reviewerID")
+
+
+def attach_products(df: DataFrame, products: DataFrame) -> DataFrame:
+    return attach_stats(df, rarity(products, "product_popularity_count", "product_rarity_score"), "asin")
+
+
+def pair_features(df: DataFrame) -> DataFrame:
+    """Confidence, engagement and the products of user and product statistics."""
     col = F.col
     confidence = rating_confidence(col("user_rating_std"), col("product_rating_std"))
-    return out.withColumns(
+    return df.withColumns(
         {
             "rating_confidence": confidence,
             "engagement_intensity": col("helpfulness_ratio") * col("word_count") / 100 * confidence,
@@ -124,6 +130,11 @@ def interaction_features(df: DataFrame, users: DataFrame, products: DataFrame) -
     )
 
 
+def interaction_features(df: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
+    """Joins the profiles (with rarity scores) and adds the pairwise products."""
+    return pair_features(attach_products(attach_users(df, users), products))
+
+
 def review_completeness(words: Column, chars: Column, helpful: Column) -> Column:
     return (
         (words > 10).cast("int") * F.lit(0.3)
@@ -253,9 +264,10 @@ def build_features(df: DataFrame, ties: Sequence[str], hot_rows: int | None = No
     # Statistics are taken on the input frame, never on the widened one.
     users, products = user_profile(df), product_profile(df)
     out = df.transform(calendar_features).transform(season_flags).transform(cyclic).transform(recency)
-    out = interaction_features(out, users, products)
-    out = out.withColumn("user_review_count", F.col("user_popularity"))
-    out = content_features(out)
+    # The rows move twice: once by user for the join and the user windows, once by product.
+    out = attach_users(out, users).withColumn("user_review_count", F.col("user_popularity"))
     out = user_rolling(out, ties, hot_rows=hot_rows, base=df)
+    out = attach_products(out, products)
     out = product_rolling(out, ["reviewerID", *[t for t in ties if t != "asin"]], hot_rows=hot_rows, base=df)
+    out = content_features(pair_features(out))
     return percentile_ranks(vs_global(out, df), PERCENTILES, df)

@@ -85,7 +85,7 @@ def group_totals(
     small = SMALL_TABLE if small is None else small
     fixed = materialise(counts)
     if fixed.limit(small + 1).count() > small:
-        return running_totals(fixed, keys, [F.col(value)], amounts)
+        return materialise(running_totals(fixed, keys, [F.col(value)], amounts))
     span = W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
     return fixed.select("*", *[F.sum(a).over(span).alias(n) for n, a in amounts.items()])
 

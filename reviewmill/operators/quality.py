@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewmill.operators import ordered
+from reviewmill.operators.drift import ALL_METRICS
 from reviewmill.operators.joins import attach_totals
 from reviewmill.operators.validate import value_counts
 
@@ -398,7 +399,7 @@ def validate_quality(df: DataFrame, name: str) -> DataFrame:
 def alerts(validation: DataFrame, drift: DataFrame, min_rows: int = 1000) -> DataFrame:
     """(type, severity, message, dataset) rows from one validation row and a drift report.
 
-    ``drift`` holds one row per metric plus the ``overall`` row (see ``drift_report``).
+    ``drift`` holds one row per metric plus the ``all_metrics`` row (see ``drift_report``).
     """
     overall = F.col("overall_score")
     volume = F.col("total_records")
@@ -418,7 +419,7 @@ def alerts(validation: DataFrame, drift: DataFrame, min_rows: int = 1000) -> Dat
     )
     quality = validation.select("dataset", F.explode(raised).alias("__a")).select("__a.*", "dataset")
     score = F.col("drift_score")
-    is_overall = F.col("metric") == "overall"
+    is_overall = F.col("metric") == ALL_METRICS
     drifted = drift.filter("drift_detected").select(
         F.lit("DRIFT").alias("type"),
         F.when(is_overall | (score > 0.2), "HIGH").otherwise("MEDIUM").alias("severity"),
@@ -500,7 +501,7 @@ def monitor_rollup(scores: DataFrame, drifts: DataFrame, raised: DataFrame) -> D
     """Across datasets: mean quality, mean drift, alert totals, datasets with issues.
 
     ``scores``: (dataset, overall_score); ``drifts``: (dataset, drift_score) of the
-    overall rows; ``raised``: alert rows with severity.
+    ``all_metrics`` rows; ``raised``: alert rows with severity.
     """
     per = scores.join(drifts, "dataset", "left")
     bad = (F.col("overall_score") < 0.7) | (F.coalesce(F.col("drift_score"), F.lit(0.0)) > 0.1)

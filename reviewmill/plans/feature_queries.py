@@ -257,9 +257,54 @@ def scale_minmax(spark, sf_dir):
     return out.select(*ID, r6("word_count_scaled").alias("word_count_scaled"), "constant_scaled")
 
 
-@catalog.add("build_features")
+_BUILD = _INTERACT + f"""
+, b as (select j.*, year(review_timestamp) as ry, month(review_timestamp) as rm, isodow(review_timestamp) - 1 as wd,
+    floor((epoch(max(review_timestamp) over ()) - epoch(review_timestamp)) / 86400) as dd,
+    min(review_timestamp) over pu as u0, max(review_timestamp) over pu as u1,
+    min(review_timestamp) over pp as p0, max(review_timestamp) over pp as p1
+  from joined j window pu as (partition by "reviewerID"), pp as (partition by asin))
+select {ID_SQL}, overall, category, helpful_votes, total_votes, word_count, char_count, sentiment_score, rating_category,
+  round(avg_word_length, 6) as avg_word_length,
+  round(helpfulness_ratio, 6) as helpfulness_ratio, round(text_complexity, 6) as text_complexity,
+  round(sentiment_intensity, 6) as sentiment_intensity, ry as review_year, rm as review_month,
+  day(review_timestamp) as review_day, wd as review_weekday, hour(review_timestamp) as review_hour,
+  dayofyear(review_timestamp) as review_dayofyear, (wd >= 5)::int as is_weekend,
+  (rm in (11, 12, 1, 7, 8))::int as is_holiday, round(sin(2 * pi() * rm / 12), 6) as month_sin,
+  round(cos(2 * pi() * rm / 12), 6) as month_cos, round(sin(2 * pi() * wd / 7), 6) as weekday_sin,
+  round(cos(2 * pi() * wd / 7), 6) as weekday_cos, dd::int as days_before_newest, floor(dd / 7)::int as weeks_before_newest,
+  un as user_popularity, floor((epoch(u1) - epoch(u0)) / 86400)::int as user_activity_days,
+  round(un / (floor((epoch(u1) - epoch(u0)) / 86400) + 1), 6) as user_review_frequency, ud as user_product_diversity,
+  round(ua, 6) as user_avg_rating, round(us, 6) as user_rating_std, round(urs, 6) as user_rarity_score,
+  un as user_review_count, pn as product_popularity_count,
+  floor((epoch(p1) - epoch(p0)) / 86400)::int as product_lifetime_days, pd as product_user_diversity,
+  round(pa, 6) as product_avg_rating, round(ps, 6) as product_rating_std, round(prs, 6) as product_rarity_score,
+  round(avg(overall) over wu, 6) as user_rolling_avg_rating, round(stddev_samp(overall) over wu, 6) as user_rolling_std_rating,
+  round(avg(word_count) over wu, 6) as user_rolling_avg_length,
+  sentiment_score - first_value(sentiment_score) over wu as user_rolling_sentiment_trend,
+  round(avg(overall) over wp, 6) as product_rolling_avg_rating, overall - first_value(overall) over wp
+    as product_rolling_rating_trend, round(avg(un) over wp, 6) as product_rolling_popularity_trend,
+  conf as rating_confidence, round(helpfulness_ratio * word_count / 100 * conf, 6) as engagement_intensity,
+  un * pn as popularity_match, ud * pd as diversity_match,
+  round((word_count > 10)::int * 0.3e0 + (char_count > 50)::int * 0.3e0 + (helpfulness_ratio > 0.5)::int * 0.4e0, 6)
+    as review_completeness, round(overall * ln(1 + word_count), 6) as rating_length_interaction,
+  round(sentiment_score * word_count / 100, 6) as sentiment_length_correlation,
+  case when dd < 30 then 1e0 when dd < 90 then 0.7e0 else 0.3e0 end as content_freshness,
+  case when (overall >= 4 and sentiment_score > 0) or (overall <= 2 and sentiment_score < 0) then 1e0
+    when overall = 3 then 0.5e0 else 0e0 end as rating_sentiment_consistency,
+  round(overall - avg(overall) over (), 6) as rating_vs_global, round(word_count - avg(word_count) over (), 6) as length_vs_global,
+  round(sentiment_score - avg(sentiment_score) over (), 6) as sentiment_vs_global,
+  {_pct('overall')} as rating_percentile, {_pct('word_count')} as length_percentile,
+  {_pct('helpfulness_ratio')} as helpfulness_percentile
+from b window wu as (partition by "reviewerID" order by {TIES_ASC} rows between 4 preceding and current row),
+  wp as (partition by asin order by review_timestamp, "reviewerID", overall, helpful_votes, total_votes, category, doc_id
+    rows between 9 preceding and current row)"""
+
+
+@catalog.add("build_features", sql(_BUILD, "frame"))
 def build_features(spark, sf_dir):
-    return features.build_features(materialise(tv.frame(spark, sf_dir, intensity=True)), tv.TIES)
+    out = features.build_features(materialise(tv.frame(spark, sf_dir, intensity=True)), tv.TIES)
+    doubles = [name for name, kind in out.dtypes if kind == "double"]
+    return rounded(out, *doubles)
 
 
 @catalog.add("feature_store")

@@ -193,7 +193,26 @@ def text_summary(spark, sf_dir):
     return _tidy(quality.text_summary(tv.document_features(spark, sf_dir), "char_count", "word_count"))
 
 
-@catalog.add("quality_report")
+_FRAME_COLS = ("doc_id", "reviewerID", "asin", "overall", "helpful_votes", "total_votes", "review_timestamp", "category",
+               "word_count", "char_count", "helpfulness_ratio", "sentiment_score", "rating_category")
+_REPORT_PARTS = (
+    "select 'completeness' as section, unnest([" + ", ".join(f"'{c}'" for c in (*_FRAME_COLS, "all_columns")) + "]) as key, unnest(["
+    + ", ".join(f'round(count("{c}") * 100 / count(*), 6)' for c in _FRAME_COLS) + ", round(("
+    + " + ".join(f'count("{c}") * 100 / count(*)' for c in _FRAME_COLS) + f") / {len(_FRAME_COLS)}, 6)]) as value from frame",
+    _five("frame", "overall", "rating_stats"),
+    "select 'overall', cast(cast(overall as int) as varchar) || '.0', count(*)::double from frame group by 2",
+    "select 'rating_category', rating_category, count(*)::double from frame group by 2",
+    _TEMPORAL,
+    _five("frame", "char_count", "char_count"),
+    _five("frame", "word_count", "word_count"),
+)
+
+
+@catalog.add("quality_report", sql(
+    ", users as (with " + _entity_sql('"reviewerID"', "asin", "user").strip()[1:].strip() + "), products as (with "
+    + _entity_sql("asin", '"reviewerID"', "product").strip()[1:].strip() + ")\nselect 'reviews' as dataset, section, key, value from (\n"
+    + "\nunion all\n".join([f"(select * from ({part}))" for part in _REPORT_PARTS])
+    + "\nunion all select * from users union all select * from products)", "frame"))
 def quality_report(spark, sf_dir):
     return _tidy(quality.quality_report(tv.frame(spark, sf_dir), "reviews"))
 
@@ -366,7 +385,7 @@ st as (select metric, sum(c) as nc, sum(r) as nr from sh group by 1),
 hel as (select metric, sqrt(sum(power(sqrt(c / nc) - sqrt(r / nr), 2)) / 2) as h from sh join st using (metric) group by 1),
 rep as (select metric, (d + md + sd) / 3 as s, p < 0.05 or (d + md + sd) / 3 > 0.1 as f from num
   union all select metric, h, h > 0.1 from hel),
-full_rep as (select * from rep union all select 'overall', avg(s), bool_or(f) from rep)
+full_rep as (select * from rep union all select 'all_metrics', avg(s), bool_or(f) from rep)
 """
 
 
@@ -420,8 +439,8 @@ select 'QUALITY' as type, 'HIGH' as severity, printf('low quality score: %.2f',
   'reviews' as dataset from marks where (s1 + s2 + s3 + s4 + s5) / 5 < 0.7
 union all select 'VOLUME', 'MEDIUM', printf('low volume: %d rows', n), 'reviews' from marks where n < 1000
 union all select 'QUALITY', 'MEDIUM', concat('quality issue: ', issue), 'reviews' from iss
-union all select 'DRIFT', case when metric = 'overall' or s > 0.2 then 'HIGH' else 'MEDIUM' end,
-  case when metric = 'overall' then printf('data drift detected, score: %.3f', s)
+union all select 'DRIFT', case when metric = 'all_metrics' or s > 0.2 then 'HIGH' else 'MEDIUM' end,
+  case when metric = 'all_metrics' then printf('data drift detected, score: %.3f', s)
     else printf('drift detected for %s: %.3f', metric, s) end, 'reviews' from full_rep where f""", "profile"))
 def alerts(spark, sf_dir):
     current, reference = _halves(spark, sf_dir)
@@ -430,7 +449,26 @@ def alerts(spark, sf_dir):
     return quality.alerts(quality.validate_quality(current, "reviews"), report)
 
 
-@catalog.add("monitor_rollup")
+def _dataset_sql(name: str) -> str:
+    """Scores and alert counts of one category, as one row."""
+    pick = f"from profile where category = '{name}')"
+    drifted = _KS.replace("from profile)", pick).strip()[1:]
+    judged = _VALIDATE.replace("from frame)", "from sides where cur = 1)")
+    return f"""(with {drifted} {judged}
+select '{name}' as dataset, (s1 + s2 + s3 + s4 + s5) / 5 as quality,
+  (select s from full_rep where metric = 'all_metrics') as drift,
+  ((s1 + s2 + s3 + s4 + s5) / 5 < 0.7)::int + (n < 1000)::int + (s1 < 1)::int + (okr <> n)::int + (okh <> n)::int
+    + (levels < 5)::int + (not pos between 0.3 and 0.8)::int + (uniq / n < 0.95)::int + (not aw > 5)::int
+    + (not mw > 0)::int + (select count(*) from full_rep where f) as raised,
+  ((s1 + s2 + s3 + s4 + s5) / 5 < 0.7)::int
+    + (select count(*) from full_rep where f and (metric = 'all_metrics' or s > 0.2)) as high from marks)"""
+
+
+@catalog.add("monitor_rollup", sql(f"""
+, per as (select * from {_dataset_sql('electronics')} union all select * from {_dataset_sql('clothing')})
+select count(*) as total_datasets, round(avg(quality), 6) as avg_quality_score, round(avg(drift), 6) as avg_drift_score,
+  count(*) filter (quality < 0.7 or drift > 0.1) as datasets_with_issues, sum(raised)::bigint as total_alerts,
+  sum(high)::bigint as high_severity_alerts from per""", "profile"))
 def monitor_rollup(spark, sf_dir):
     current, reference = _halves(spark, sf_dir)
     scores = drifts = raised = None
@@ -439,7 +477,7 @@ def monitor_rollup(spark, sf_dir):
         validation = quality.validate_quality(current.filter(mine), name)
         report = drift.drift_report(current.filter(mine), reference.filter(mine), NUMERIC, CATEGORICAL, name)
         score = validation.select("dataset", "overall_score")
-        change = report.filter(F.col("metric") == "overall").select("dataset", "drift_score")
+        change = report.filter(F.col("metric") == drift.ALL_METRICS).select("dataset", "drift_score")
         alarm = quality.alerts(validation, report)
         scores = score if scores is None else scores.unionByName(score)
         drifts = change if drifts is None else drifts.unionByName(change)

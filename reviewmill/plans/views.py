@@ -55,7 +55,7 @@ select doc_id, cast(len(w) as int) as word_count, cast(length(t) as int) as char
      else 0.0 end as sentiment_intensity
 from doc_words"""),
     "frame": (("reviews", "docs"), """
-select r.*, d.word_count, d.char_count, d.text_complexity, d.sentiment_intensity,
+select r.*, d.word_count, d.char_count, d.avg_word_length, d.text_complexity, d.sentiment_intensity,
   case when total_votes > 0 then helpful_votes / total_votes else 0e0 end as helpfulness_ratio,
   case when overall <= 2 then -1e0 when overall = 3 then 0e0 else 1e0 end as sentiment_score,
   case when overall <= 2 then 'negative' when overall = 3 then 'neutral' else 'positive' end as rating_category
