@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 
 def attach_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
-    """Adds the columns of a grand total (an aggregate without keys: exactly one row)."""
-    return df.crossJoin(F.broadcast(totals))
+    """Adds the columns of a grand total (an aggregate without keys) to every row.
+
+    A scalar subquery: Spark evaluates the total once, checks that it is one
+    row, and every task sees it as a constant; no join takes place.
+    """
+    total = totals.select(F.struct(*totals.columns)).scalar().alias("__totals")
+    kept = [F.col(c) for c in df.columns]
+    return df.select(*kept, total).select(*kept, "__totals.*")
 
 
 def attach_stats(df: DataFrame, stats: DataFrame, key: str | list[str], hint: str | None = None) -> DataFrame:

@@ -104,3 +104,22 @@ def test_drift_extremes(spark):
     assert drift.hellinger_drift(a, a, ["c"]).first().hellinger_distance == 0
     zero = a.withColumn("overall", F.col("overall") - 24.5)
     assert drift.numeric_drift(a, zero, ["overall"]).first().mean_drift == 0
+
+
+def test_drift_report_rows_and_alerts(spark):
+    from reviewmill.operators import quality
+
+    a = spark.range(40).select(
+        F.lit("U").alias("reviewerID"), F.col("id").cast("string").alias("asin"), (F.col("id") % 2 + 4.0).alias("overall"),
+        F.expr("timestamp_ntz'2020-01-01 00:00:00'").alias("review_timestamp"), F.lit(9).alias("word_count"),
+        F.lit(0.5).alias("helpfulness_ratio"), F.lit("x").alias("c"),
+    )
+    b = a.withColumn("overall", F.col("overall") - 3)
+    report = drift.drift_report(a, b, ["overall"], ["c"], "d").collect()
+    assert sorted(r.metric for r in report) == ["all_metrics", "c", "overall"]
+    score = {r.metric: r.drift_score for r in report}
+    assert score["all_metrics"] == pytest.approx((score["c"] + score["overall"]) / 2)
+    raised = quality.alerts(quality.validate_quality(a, "d"), drift.drift_report(a, b, ["overall"], ["c"], "d")).collect()
+    assert sorted((r.type, r.severity) for r in raised) == [
+        ("DRIFT", "HIGH"), ("DRIFT", "HIGH"), ("QUALITY", "MEDIUM"), ("QUALITY", "MEDIUM"), ("VOLUME", "MEDIUM")
+    ]
