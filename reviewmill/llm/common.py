@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[p
         if not batch.num_rows:
             continue
         sizes = np.asarray(
-            pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64
+            pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64
         )
         step = np.cumsum(sizes) // STEP_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), batch.num_rows]
