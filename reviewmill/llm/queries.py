@@ -6,12 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import packing, simhash
-from reviewmill.llm.common import table
+from reviewmill.llm import packing, simhash, toxicity, windows
+from reviewmill.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", (fold(scored["doc_id"], toxicity.FOLDS) == toxicity.HELD).alias("held_out"), "score", "predicted"
+    )
+
+
+def op5_count_min_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.removal(table(spark, sf_dir, "documents"))
+
+
 def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -23,6 +36,8 @@ def op10_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_weak_toxicity": op1_weak_toxicity,
+        "op5_count_min_windows": op5_count_min_windows,
         "op9_vector_best_fit": op9_vector_best_fit,
         "op10_simhash_popcount": op10_simhash_popcount,
     }
