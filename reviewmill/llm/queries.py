@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewmill.llm import packing, simhash, toxicity, windows
+from reviewmill.llm import packing, simhash, toxicity, windows, winnowing
 from reviewmill.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,14 @@ def op5_count_min_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.removal(table(spark, sf_dir, "documents"))
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -38,10 +47,65 @@ def queries() -> dict[str, Query]:
     return {
         "op1_weak_toxicity": op1_weak_toxicity,
         "op5_count_min_windows": op5_count_min_windows,
+        "op6_winnowing": op6_winnowing,
         "op9_vector_best_fit": op9_vector_best_fit,
         "op10_simhash_popcount": op10_simhash_popcount,
     }
 
 
+ORACLES = {
+    "op5_count_min_windows": r"""
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), places as (
+  select doc_id, w, unnest(range(1, len(w) - 18)) as pos from words where len(w) >= 20
+), windows as (
+  select doc_id, pos, array_to_string(w[pos:pos + 19], ' ') as body from places
+), ranked as (
+  select doc_id, pos, row_number() over (partition by body order by doc_id, pos) as nth from windows
+), gone as (
+  select distinct doc_id, unnest(range(pos, pos + 20)) as pos from ranked where nth > 1
+), each_word as (
+  select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as pos from words
+), kept as (
+  select e.doc_id, string_agg(e.word, ' ' order by e.pos) as body, count(*) as n
+  from each_word e anti join gone g on e.doc_id = g.doc_id and e.pos = g.pos group by e.doc_id
+)
+select w.doc_id, cast(len(w.w) as bigint) as n_words, cast(len(w.w) - coalesce(k.n, 0) as bigint) as n_removed,
+  sha256(coalesce(k.body, '')) as kept_sha256
+from words w left join kept k on w.doc_id = k.doc_id
+""",
+    "op6_winnowing": r"""
+with words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), items as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+), item_windows as (
+  select distinct item_id, size, array_to_string(w[pos:pos + size - 1], ' ') as body from (
+    select item_id, w, least(10, len(w)) as size, unnest(range(1, len(w) - least(10, len(w)) + 2)) as pos
+    from items where len(w) > 0)
+), sizes as (
+  select distinct size from item_windows
+), places as (
+  select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as pos from words, sizes where len(w) >= size
+), hits as (
+  select p.doc_id, p.pos, p.size, i.item_id
+  from places p join item_windows i on i.size = p.size and i.body = array_to_string(p.w[p.pos:p.pos + p.size - 1], ' ')
+), hit_words as (
+  select doc_id, count(distinct pos) as n from (select doc_id, unnest(range(pos, pos + size)) as pos from hits)
+  group by doc_id
+), hit_items as (
+  select doc_id, count(*) as n, string_agg(item, ',' order by item) as body
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id
+)
+select w.doc_id, cast(len(w.w) as bigint) as n_words, coalesce(h.n, 0) as n_hit, coalesce(i.n, 0) as n_items,
+  sha256(coalesce(i.body, '')) as items_sha256, coalesce(h.n, 0) > 0 as contaminated
+from words w left join hit_words h on w.doc_id = h.doc_id left join hit_items i on w.doc_id = i.doc_id
+""",
+}
+
+
 def oracles() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm import common
 from reviewmill.llm.components import connected
+from reviewmill.llm.keyed import KEY, with_key
 from reviewmill.session import materialise
 
 SEGMENTS, BLOCKS, DISTANCE, SEED, SHINGLE = 32, 7, 3, 42, 3
@@ -242,3 +243,14 @@ def components(docs: DataFrame) -> DataFrame:
 
 def hex_of(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` of each component stays, the one with the smallest doc_id, with all its columns.
+
+    Rows that repeat an id, or have none, are ordered by their texts (see ``keyed``); null ids come first.
+    """
+    keyed = with_key(docs)
+    found = components(keyed.select(F.col(KEY).alias("doc_id"), "text"))
+    copies = materialise(found.filter("doc_id <> component_id").select(F.col("doc_id").alias(KEY)))
+    return keyed.join(copies, KEY, "left_anti").select(*docs.columns)
