@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import packing, simhash, toxicity, windows, winnowing
+from reviewmill.llm import chat, maxscore, packing, simhash, toxicity, windows, winnowing
 from reviewmill.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,16 @@ def op1_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_chat_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    said = "</s>[INST] ok [/INST]"
+    control = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select(*columns).unionByName(control)
+    return chat.digest(chat.format_conversations(turns))
+
+
 def op5_count_min_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.removal(table(spark, sf_dir, "documents"))
 
@@ -34,6 +44,10 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -46,14 +60,47 @@ def op10_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_weak_toxicity": op1_weak_toxicity,
+        "op4_chat_offsets": op4_chat_offsets,
         "op5_count_min_windows": op5_count_min_windows,
         "op6_winnowing": op6_winnowing,
+        "op8_maxscore": op8_maxscore,
         "op9_vector_best_fit": op9_vector_best_fit,
         "op10_simhash_popcount": op10_simhash_popcount,
     }
 
 
 ORACLES = {
+    "op4_chat_offsets": r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized as (
+  select *, 20 + length(both_) + (length(both_) - length(replace(both_, '\', '')))
+    + (length(both_) - length(replace(both_, '<s>', ''))) / 3 + (length(both_) - length(replace(both_, '</s>', ''))) / 4
+    + (length(both_) - length(replace(both_, '[INST]', ''))) / 6
+    + (length(both_) - length(replace(both_, '[/INST]', ''))) / 7 as size
+  from (select *, role || chr(10) || text as both_ from turns)
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum(size) - count(*) as bigint) as formatted_chars
+from sized group by conv_id
+""",
+    "op8_maxscore": r"""
+with vectors as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+  from vectors q join vectors c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 20
+""",
     "op5_count_min_windows": r"""
 with words as (
   select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
