@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import chat, maxscore, packing, simhash, toxicity, windows, winnowing
+from reviewmill.llm import chat, langid, maxscore, packing, quality, simhash, toxicity, windows, winnowing
 from reviewmill.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,13 @@ def op1_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(docs))
+    held = fold(found["doc_id"], langid.FOLDS) == langid.HELD
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op4_chat_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
     said = "</s>[INST] ok [/INST]"
@@ -44,6 +51,13 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    held = fold(found["doc_id"], quality.FOLDS) == quality.HELD
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op8_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -60,9 +74,11 @@ def op10_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_weak_toxicity": op1_weak_toxicity,
+        "op2_marginal_unigrams": op2_marginal_unigrams,
         "op4_chat_offsets": op4_chat_offsets,
         "op5_count_min_windows": op5_count_min_windows,
         "op6_winnowing": op6_winnowing,
+        "op7_additive_quality": op7_additive_quality,
         "op8_maxscore": op8_maxscore,
         "op9_vector_best_fit": op9_vector_best_fit,
         "op10_simhash_popcount": op10_simhash_popcount,
