@@ -61,8 +61,6 @@ class WordEncoder:
 
     def _learn(self, parts: list[bytes]) -> None:
         """Encodes unseen parts, many in one call with a mark between them."""
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo.clear()
         together, marked = [], _MARK.encode()
         for part in parts:
             if len(part) > 64 or marked in part:
@@ -83,12 +81,13 @@ class WordEncoder:
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         split = [x.lower().split() for x in texts]
-        unseen = list({p for parts in split for p in parts if p not in self.memo})
+        wanted = {p for parts in split for p in parts}
+        unseen = [p for p in wanted if p not in self.memo]
+        if len(self.memo) + len(unseen) > MEMO_ENTRIES:
+            self.memo.clear()
+            unseen = list(wanted)
         if unseen:
-            kept = len(self.memo) + len(unseen) <= MEMO_ENTRIES
             self._learn(unseen)
-            if not kept:  # the memo was emptied; what these texts need is learned again
-                self._learn(list({p for parts in split for p in parts if p not in self.memo}))
         ids = self.memo
         return [b"".join([ids[p] for p in parts]) for parts in split]
 
