@@ -76,13 +76,18 @@ def text_features(text: Column, cleaned: bool = False) -> dict[str, Column]:
     }
 
 
+#: Printable ASCII characters.
+PRINTABLE = 95
+
+
 def is_spam(
     text: Column, min_length: int = 10, min_unique_ratio: float = 0.1, max_upper: float = 0.9
 ) -> Column:
     """Too short, too few distinct characters, almost all capitals, or a spam phrase.
 
-    With the default ratio any text longer than about 950 characters is flagged,
-    because only 95 printable characters exist; pass a smaller ratio to relax it.
+    The distinct share is taken of the text's length or of the 95 printable
+    characters, whichever is less: more than those cannot be distinct, so a long text is not
+    spam for its length.
     """
     size = F.length(text)
     distinct = F.size(F.array_distinct(F.split(text, "")))
@@ -90,7 +95,7 @@ def is_spam(
     pattern = "(?i)" + "|".join(SPAM_PATTERNS)
     return (
         (size < min_length)
-        | (distinct < size * F.lit(min_unique_ratio))
+        | (distinct < F.least(size, F.lit(PRINTABLE)) * F.lit(min_unique_ratio))
         | (upper > size * F.lit(max_upper))
         | text.rlike(pattern)
     )

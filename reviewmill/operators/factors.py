@@ -16,11 +16,13 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewmill.operators import neighbours
 from reviewmill.operators.joins import attach_totals
+from reviewmill.operators.ordered import running_totals
 from reviewmill.operators.recommend import LIKED, index_ids, interactions, top_products
 from reviewmill.session import materialise
 
@@ -247,7 +249,7 @@ class Neural:
     factors: Factors
     net: MultilayerPerceptronClassificationModel
     seen: DataFrame  # reviewerID, asin
-    popular: DataFrame  # asin, rank
+    popular: DataFrame  # asin, rank: all products by popularity
 
 
 def train_ncf(
@@ -257,7 +259,6 @@ def train_ncf(
     iters: int = 30,
     seed: int = 42,
     order: Sequence[str] = ("review_timestamp",),
-    popular: int = 100,
 ) -> Neural:
     """Embeddings by ALS on the 0/1 target, then the perceptron on the same pairs."""
     df = materialise(df.select(*dict.fromkeys(["reviewerID", "asin", "overall", *order])))
@@ -271,7 +272,10 @@ def train_ncf(
     net = MultilayerPerceptronClassifier(
         layers=[2 * rank, *layers, 2], maxIter=iters, seed=seed, featuresCol="features", labelCol="label"
     ).fit(train)
-    return Neural(factors, net, ratings.select("reviewerID", "asin"), top_products(df, popular, by=None).select("asin", "rank"))
+    counts = df.groupBy("asin").agg(F.count(F.lit(1)).alias("n"), F.avg("overall").alias("mean"))
+    order = [F.col("n").desc(), F.col("mean").desc(), F.col("asin").asc()]
+    popular = materialise(running_totals(counts, [], order, {"rank": F.lit(1)}).select("asin", F.col("rank").cast("int")))
+    return Neural(factors, net, ratings.select("reviewerID", "asin"), popular)
 
 
 def _pairs(pairs: DataFrame, factors: Factors) -> DataFrame:
@@ -292,48 +296,22 @@ def ncf_predict(model: Neural, pairs: DataFrame) -> DataFrame:
     ).drop("__p")
 
 
-def _pair_probability(layers: Sequence[int], weights: np.ndarray, rank: int):
-    """The perceptron's forward pass on all pairs of two small matrices; the first layer is shared."""
-    matrices, at = [], 0
-    for size_in, size_out in zip(layers[:-1], layers[1:]):
-        matrix = weights[at : at + size_in * size_out].reshape((size_out, size_in), order="F")
-        at += size_in * size_out
-        matrices.append((matrix, weights[at : at + size_out]))
-        at += size_out
-
-    def probability(q: np.ndarray, b: np.ndarray) -> np.ndarray:
-        first, bias = matrices[0]
-        left, right = q @ first[:, :rank].T, b @ first[:, rank:].T
-        out = np.empty((len(q), len(b)))
-        for i in range(len(q)):
-            h = left[i][None, :] + right + bias
-            for matrix, shift in matrices[1:]:
-                h = (1.0 / (1.0 + np.exp(-h))) @ matrix.T + shift
-            out[i] = 1.0 / (1.0 + np.exp(h[:, 0] - h[:, 1]))
-        return out
-
-    return probability
-
-
-def ncf_recommend(model: Neural, users: DataFrame, k: int) -> DataFrame:
-    """(reviewerID, asin, score, rank, method): unseen items by probability; unknown users get popular items."""
-    factors = model.factors
+def ncf_recommend(model: Neural, candidates: DataFrame, users: DataFrame, k: int) -> DataFrame:
+    """(reviewerID, asin, score, rank, method): the k most probable unseen ``candidates`` of each user.
+
+    ``candidates`` (reviewerID, asin) says which pairs are scored, so the work is that table and not users x
+    items; the result is complete over it. Users that the model does not know get the k most
+    popular items.
+    """
     asked = users.select("reviewerID").distinct()
-    known = factors.users.join(asked, "reviewerID", "left_semi")
-    seen = (
-        model.seen.join(known.select("reviewerID", F.col("user").alias("id")), "reviewerID")
-        .join(factors.items.select("asin", F.col("item").alias("partner")), "asin")
-        .select("id", "partner")
-    )
-    # numLayers and weights are a few thousand numbers, independent of the data.
-    layers = list(model.net.getLayers())
-    score = _pair_probability(layers, np.array(model.net.weights.toArray()), factors.rank)
-    ranked = neighbours.top_scored(
-        known.select(F.col("user").alias("id"), "vec"), factors.items.select(F.col("item").alias("id"), "vec"),
-        score, k, seen=seen,
+    pairs = candidates.select("reviewerID", "asin").distinct().join(asked, "reviewerID", "left_semi")
+    unseen = pairs.join(model.seen.select("reviewerID", "asin").distinct(), ["reviewerID", "asin"], "left_anti")
+    known = unseen.join(model.factors.users.select("reviewerID"), "reviewerID", "left_semi")
+    best = W.partitionBy("reviewerID").orderBy(F.desc("probability"), "asin")
+    own = ncf_predict(model, known).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
+        "reviewerID", "asin", F.col("probability").alias("score"), "rank", F.lit("model").alias("method")
     )
-    own = _named(ranked, factors).withColumn("method", F.lit("model"))
-    strangers = asked.join(factors.users.select("reviewerID"), "reviewerID", "left_anti")
+    strangers = asked.join(model.factors.users.select("reviewerID"), "reviewerID", "left_anti")
     listed = model.popular.filter(F.col("rank") <= k).agg(F.collect_list(F.struct("asin", "rank")).alias("__l"))
     fallback = attach_totals(strangers, listed).select("reviewerID", F.explode("__l").alias("__i")).select(
         "reviewerID", "__i.asin", F.lit(0.5).alias("score"), "__i.rank", F.lit("popular").alias("method")
@@ -341,6 +319,13 @@ def ncf_recommend(model: Neural, users: DataFrame, k: int) -> DataFrame:
     return own.unionByName(fallback)
 
 
+def ncf_candidates(df: DataFrame, users: DataFrame, per_category: int) -> DataFrame:
+    """(reviewerID, asin): for each user the most reviewed products of the categories they have reviewed."""
+    visited = df.select("reviewerID", "category").distinct().join(users.select("reviewerID").distinct(), "reviewerID")
+    listed = top_products(df, per_category).select("category", "asin")
+    return visited.join(listed, "category").select("reviewerID", "asin").distinct()
+
+
 # --- saving ---------------------------------------------------------------------------------
 
 

@@ -27,9 +27,9 @@ MODEL_COLUMNS = (
 )
 
 
-def model_frame(df: DataFrame, label: str, cols: Sequence[str] = MODEL_COLUMNS, limit: int = 10) -> DataFrame:
-    """Label and the named columns that exist (at most ``limit``), rows with nulls dropped."""
-    kept = [c for c in cols if c in df.columns and c != label][:limit]
+def model_frame(df: DataFrame, label: str, cols: Sequence[str] = MODEL_COLUMNS) -> DataFrame:
+    """Label and the named columns that exist, rows with nulls dropped."""
+    kept = [c for c in cols if c in df.columns and c != label]
     if not kept:
         raise ValueError("none of the model columns is present")
     return df.select(label, *kept).na.drop()
@@ -188,9 +188,11 @@ def train_all(
                 done.rows.append((name, "success", metric, value, float(best), None))
             done.models[name] = PipelineModel(stages=[*prepared.stages, search.bestModel])
         except Exception as error:  # reported per model; the other models still train
-            done.rows.append((name, "error", None, None, None, str(error)[:500]))
+            done.rows.append((name, "error", None, None, None, str(error)))
     ready.unpersist()
     held.unpersist()
+    if not done.models:
+        raise RuntimeError("no model could be trained: " + "; ".join(f"{r[0]}: {r[5]}" for r in done.rows))
     return done.models, train.sparkSession.createDataFrame(done.rows, RESULTS)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reviewmill.operators.joins import attach_totals
+from reviewmill.operators.joins import attach_totals, same_keys
 from reviewmill.session import materialise
 
 HOT_ROWS = 5_000_000  # one sorted task of this many narrow rows is still comfortable
@@ -99,14 +99,16 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
 def split_hot(
     df: DataFrame, keys: Sequence[str], hot_rows: int | None = None, base: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
-    """(cold rows, hot rows or None). Keys must not be null.
+    """(cold rows, hot rows or None). A null key is a key like any other.
 
     ``base`` may name a cheaper frame with the same rows per key to count on.
     """
     hot = materialise(hot_keys(df if base is None else base, keys, hot_rows))
     if hot.isEmpty():
         return df, None
-    return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi")
+    named = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys])
+    match = same_keys(df, list(keys), "__hot_")
+    return df.join(named, match, "left_anti"), df.join(named, match, "left_semi")
 
 
 def _number_hot(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:

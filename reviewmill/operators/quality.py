@@ -488,8 +488,8 @@ def simple_monitor(df: DataFrame, name: str) -> DataFrame:
         positive.alias("positive_ratio"),
         _issues(
             (F.lit(bool(absent)), f"HIGH MISSING_COLUMNS {', '.join(absent)}"),
-            (F.size(nulls) > 0, F.concat(F.lit("MEDIUM HIGH_NULLS "), F.concat_ws(", ", F.slice(nulls, 1, 5)))),
-            (F.size(wrong) > 0, F.concat(F.lit("HIGH INVALID_VALUES "), F.concat_ws("; ", F.slice(wrong, 1, 3)))),
+            (F.size(nulls) > 0, F.concat(F.lit("MEDIUM HIGH_NULLS "), F.concat_ws(", ", nulls))),
+            (F.size(wrong) > 0, F.concat(F.lit("HIGH INVALID_VALUES "), F.concat_ws("; ", wrong))),
             (positive > 0.9, F.format_string("MEDIUM BIASED_DISTRIBUTION %.2f", positive)),
             (single > 0.7, F.format_string("HIGH COLD_START %.3f", single)),
         ).alias("alerts"),

@@ -9,6 +9,7 @@ from reviewmill.plans import (
     model_queries,
     quality_queries,
     recommend_queries,
+    source_queries,
 )
 from reviewmill.plans.registry import Query
 
@@ -19,6 +20,7 @@ MODULES = (
     feature_queries,
     experiment_queries,
     model_queries,
+    source_queries,
 )
 
 

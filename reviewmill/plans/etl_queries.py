@@ -27,13 +27,13 @@ select "reviewerID", asin, "reviewerName", helpful[1] as helpful_votes, helpful[
 from (select *, timestamp '1970-01-01' + to_seconds("unixReviewTime") as d,
         row_number() over (partition by "reviewerID", asin, "unixReviewTime"
           order by overall, "reviewerName", helpful, "reviewText", summary, "reviewTime") as rn
-      from checked_relaxed where failed is null)
+      from checked where failed is null)
 where rn = 1"""
 
 
-@catalog.add("clean_reviews", sql(_CLEAN_SQL, "checked_relaxed"))
+@catalog.add("clean_reviews", sql(_CLEAN_SQL, "checked"))
 def clean_reviews(spark, sf_dir):
-    out = cleaning.clean_reviews(tv.raw_reviews(spark, sf_dir), min_unique_ratio=0.0005)
+    out = cleaning.clean_reviews(tv.raw_reviews(spark, sf_dir))
     return out.select(
         "reviewerID", "asin", "reviewerName", "helpful_votes", "total_votes",
         F.md5("reviewText").alias("text_md5"), "overall", "summary", "unixReviewTime", "reviewTime",
@@ -44,7 +44,7 @@ def clean_reviews(spark, sf_dir):
 
 @catalog.add("spam_flags", sql(
     """select doc_id, (length(t) < 10
-      or len(list_distinct(string_split(t, ''))) < length(t) * 0.1e0
+      or len(list_distinct(string_split(t, ''))) < least(length(t), 95) * 0.1e0
       or length(regexp_replace(t, '[^A-Z]', '', 'g')) > length(t) * 0.9e0
       or regexp_matches(t, '(?i)http[s]?://\\S+|www\\.\\S+|click here|buy\\s+now|free\\s+trial|money\\s+back|\\.com')
     ) as is_spam from cleaned_docs""", "cleaned_docs"))

@@ -153,24 +153,21 @@ def _stream_folders(spark) -> tuple[str, str]:
     return f"{base}/out", f"{base}/state"
 
 
-_CLOSED = "epoch(date_trunc('day', ts)) + 86400 <= (select epoch(max(ts)) - 3600 from events)"
-
-
 @catalog.add("stream_ab_metrics", sql(f"""
 select epoch(date_trunc('day', ts))::bigint as window_start, event_type as metric,
   case when {BUCKET} < 50 then 'A' else 'B' end as "group", count(value) as n, round(sum(value), 4) as total,
   round(sum(value * value), 4) as total_squares
-from (select *, md5(concat('user_', cast(user_id as varchar))) as h from events) where {_CLOSED} group by 1, 2, 3"""))
+from (select *, md5(concat('user_', cast(user_id as varchar))) as h from events) group by 1, 2, 3"""))
 def stream_ab_metrics(spark, sf_dir):
-    out = streams.stream_ab_metrics(spark, sf_dir, *_stream_folders(spark), pattern="events.parquet")
+    out = streams.ab_metrics_to_end(spark, sf_dir, *_stream_folders(spark), pattern="events.parquet")
     return out.withColumns({c: F.round(c, 4) for c in ("total", "total_squares")})
 
 
 @catalog.add("stream_value_percentiles", sql(f"""
 select epoch(date_trunc('day', ts))::bigint as window_start, count(value) as n, round(avg(value), 6) as mean,
-  quantile_disc(value, 0.95) as p95, quantile_disc(value, 0.99) as p99 from events where {_CLOSED} group by 1"""))
+  quantile_disc(value, 0.95) as p95, quantile_disc(value, 0.99) as p99 from events group by 1"""))
 def stream_value_percentiles(spark, sf_dir):
-    out = streams.stream_value_percentiles(spark, sf_dir, *_stream_folders(spark), pattern="events.parquet")
+    out = streams.value_percentiles_to_end(spark, sf_dir, *_stream_folders(spark), pattern="events.parquet")
     return rounded(out, "mean")
 
 

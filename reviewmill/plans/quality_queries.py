@@ -117,7 +117,8 @@ select category as "table", 'success' as status, count(*) as records, 0::bigint
 union all select 'total', 'success', count(*), 0, null from reviews""", "reviews"))
 def run_report(spark, sf_dir):
     df = tv.reviews(spark, sf_dir)
-    return validate.run_report({c: df.filter(F.col("category") == c) for c in ("electronics", "clothing")})
+    names = tv.categories(df)
+    return validate.run_report({c: df.filter(F.col("category").eqNullSafe(c)) for c in names})
 
 
 _RAW_COLS = ("reviewerID", "asin", "reviewerName", "helpful", "reviewText", "overall", "summary", "unixReviewTime", "reviewTime")
@@ -422,12 +423,7 @@ def drift_report(spark, sf_dir):
 
 
 # A current period in which only good ratings arrived, so that the rules fire.
-_KS_GOOD_ONLY = _KS.replace(
-    "as cur from profile)", f"as cur from profile where review_timestamp < timestamp '{CUT}' or overall >= 4)"
-)
-
-
-@catalog.add("alerts", sql(_KS_GOOD_ONLY + _VALIDATE.replace("from frame)", "from sides where cur = 1)") + """
+@catalog.add("alerts", sql(_KS + _VALIDATE.replace("from frame)", "from sides where cur = 1)") + """
 , iss as (select unnest(list_filter([case when s1 < 1 then 'null values in key columns' end,
     case when okr <> n then 'ratings outside [1-5]' end, case when okh <> n then 'helpfulness ratio outside [0-1]' end,
     case when levels < 5 then 'rating levels missing' end,
@@ -444,7 +440,6 @@ union all select 'DRIFT', case when metric = 'all_metrics' or s > 0.2 then 'HIGH
     else printf('drift detected for %s: %.3f', metric, s) end, 'reviews' from full_rep where f""", "profile"))
 def alerts(spark, sf_dir):
     current, reference = _halves(spark, sf_dir)
-    current = current.filter(F.col("overall") >= 4)
     report = drift.drift_report(current, reference, NUMERIC, CATEGORICAL, "reviews")
     return quality.alerts(quality.validate_quality(current, "reviews"), report)
 
@@ -472,8 +467,8 @@ select count(*) as total_datasets, round(avg(quality), 6) as avg_quality_score,
 def monitor_rollup(spark, sf_dir):
     current, reference = _halves(spark, sf_dir)
     scores = drifts = raised = None
-    for name in ("electronics", "clothing"):
-        mine = F.col("category") == name
+    for name in tv.categories(tv.reviews(spark, sf_dir)):
+        mine = F.col("category").eqNullSafe(name)
         validation = quality.validate_quality(current.filter(mine), name)
         report = drift.drift_report(current.filter(mine), reference.filter(mine), NUMERIC, CATEGORICAL, name)
         score = validation.select("dataset", "overall_score")

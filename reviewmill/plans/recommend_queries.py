@@ -353,24 +353,24 @@ def svd_topk(spark, sf_dir):
 def svd_grid(spark, sf_dir):
     train, test = recommend.hash_split(tv.reviews(spark, sf_dir), KEYS)
     indexed = factors.index_ratings(recommend.interactions(train, ORDER))
-    return factors.tune_svd(indexed, test, sizes=(5, 10))
+    return factors.tune_svd(indexed, test)
 
 
 @catalog.add("ncf_predict")
 def ncf_predict(spark, sf_dir):
     train, test = recommend.hash_split(tv.reviews(spark, sf_dir), KEYS)
-    model = factors.train_ncf(train, iters=10, order=ORDER)
+    model = factors.train_ncf(train, order=ORDER)
     return factors.ncf_predict(model, test.select("reviewerID", "asin", "overall"))
 
 
 @catalog.add("ncf_topk")
 def ncf_topk(spark, sf_dir):
     df = tv.reviews(spark, sf_dir)
-    model = factors.train_ncf(df, iters=10, order=ORDER)
+    model = factors.train_ncf(df, order=ORDER)
     users = tv.table(spark, sf_dir, "customer").select(
         F.concat(F.lit("A"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("reviewerID")
     )
-    return factors.ncf_recommend(model, users, 10)
+    return factors.ncf_recommend(model, factors.ncf_candidates(df, users, 50), users, 10)
 
 
 # --- layout and join shapes -----------------------------------------------------------------
@@ -391,10 +391,26 @@ def partition_by_category(spark, sf_dir):
     return per.groupBy("category").agg(F.count(F.lit(1)).alias("partitions"), F.sum("n").alias("rows"))
 
 
-@catalog.add("layout_advice")
+_MONTHS = """
+, sizes as (select year(review_timestamp) as y, month(review_timestamp) as m, count(*) as rows from reviews group by 1, 2),
+facts as (select quantile_cont(rows, 0.5) as middle from sizes),
+tests as (
+  select 'above_median' as rule, 2.0 * middle as bound, rows, rows > 2.0 * middle as hit from sizes, facts
+  union all select 'below_rows', 200.0, rows, rows < 200.0 from sizes
+  union all select 'above_rows', 1500.0, rows, rows > 1500.0 from sizes)
+select rule, round(bound, 6) as bound, count(*) filter (hit) as partitions,
+  coalesce(sum(rows) filter (hit), 0)::bigint as affected_rows,
+  round(coalesce(sum(rows) filter (hit), 0) / sum(rows), 6) as affected_share
+from tests group by 1, 2"""
+
+
+@catalog.add("layout_advice", sql(_MONTHS, "reviews"))
 def layout_advice(spark, sf_dir):
-    df = layout.repartition_by(tv.reviews(spark, sf_dir), "hash", 128, "category")
-    return layout.layout_advice(layout.partition_skew(df).withColumn("skew_ratio", F.lit(4.0)))
+    # How a table partitioned by year and month would come out.
+    months = tv.reviews(spark, sf_dir).groupBy(
+        F.year("review_timestamp").alias("y"), F.month("review_timestamp").alias("m")
+    ).agg(F.count(F.lit(1)).alias("rows"))
+    return rounded(layout.layout_findings(months, 2.0, 200, 1500), "bound", "affected_share")
 
 
 _POPULAR = """

@@ -109,7 +109,7 @@ select *, case
   when not coalesce(regexp_full_match(asin, '[A-Z0-9]{{10}}'), false) then 'product'
   when not coalesce(overall between 1 and 5, false) then 'rating'
   when not (had_text and length("reviewText") >= 10) then 'text'
-  when len(list_distinct(string_split("reviewText", ''))) < length("reviewText") * 0.1e0
+  when len(list_distinct(string_split("reviewText", ''))) < least(length("reviewText"), 95) * 0.1e0
     or length(regexp_replace("reviewText", '[^A-Z]', '', 'g')) > length("reviewText") * 0.9e0
     or regexp_matches("reviewText", '(?i)http[s]?://\S+|www\.\S+|click here|buy\s+now|free\s+trial|money\s+back|\.com')
     then 'spam'
@@ -131,10 +131,6 @@ select user_id, "group", 'value', v from ab_users where v is not null"""),
 }
 
 
-# The same rules with the distinct-character rule relaxed, so that long texts stay.
-CTES["checked_relaxed"] = (CTES["checked"][0], CTES["checked"][1].replace("* 0.1e0", "* 0.0005e0"))
-
-
 def sql(body: str, *needs: str) -> str:
     """``with <needed CTEs in dependency order> body``; body may open with more CTEs (", x as (...) select")."""
     order: list[str] = []

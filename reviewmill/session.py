@@ -35,14 +35,16 @@ def build_session(app: str = "reviewmill", master: str | None = None, **conf: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables that every executor can read.
+    """The folder for intermediate tables that every executor can read: ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` wins. Only a session without it (a test on one
-    machine) gets a temporary folder of its own.
+    A session on one machine (local master) may go without the setting and gets a temporary
+    folder; on a cluster that would be another folder on each machine, so it is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="reviewmill-"))
     return context.getCheckpointDir()
 

@@ -46,6 +46,11 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def categories(df: DataFrame) -> list[str | None]:
+    """The datasets that the rows name, in order; there are a few of them, each with a report of its own."""
+    return [r["category"] for r in df.select("category").distinct().orderBy("category").collect()]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents, spread over the cores when the scan alone gives fewer tasks than that.
 

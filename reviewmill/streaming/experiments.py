@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewmill.operators import experiments, ordered
 
+#: An end-of-input marker lies this long after the newest event; more than a window and the allowed lateness.
+GAP = "3 days"
+
 EVENT = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -74,6 +79,40 @@ def percentile_windows(events: DataFrame, window: str, lateness: str, accuracy:
     )
 
 
+def run_to_end(
+    spark: SparkSession,
+    folder: str,
+    transform: Callable[[DataFrame], DataFrame],
+    out: str,
+    checkpoint: str,
+    gap: str,
+    **source,
+) -> DataFrame:
+    """Runs a windowed stream over a finished input and closes its last window too.
+
+    The watermark follows the events, so a stream that has read everything still waits
+    with its newest windows open. An end-of-input marker, a row without values
+    later than ``gap`` after the newest event, comes in over a second folder and moves the
+    watermark past them. The marker's own window stays open and is never written.
+    """
+    marks = f"{checkpoint}-end"
+    spark.createDataFrame([], EVENT).write.mode("append").parquet(marks)
+
+    def go() -> None:
+        events = event_stream(spark, folder, **source).unionByName(event_stream(spark, marks))
+        run_available(transform(events), out, checkpoint)
+
+    go()
+    batch = spark.read.schema(EVENT)
+    if source.get("pattern"):
+        batch = batch.option("pathGlobFilter", source["pattern"])
+    end = batch.parquet(folder).agg((F.max("ts") + F.expr(f"interval {gap}")).alias("ts")).filter("ts is not null")
+    marker = end.select(*[F.col(f.name) if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in EVENT])
+    marker.write.mode("append").parquet(marks)
+    go()
+    return spark.read.parquet(out)
+
+
 def run_available(stream: DataFrame, out: str, checkpoint: str) -> None:
     """Processes everything there is and stops; windows are appended once the watermark passes them."""
     query = (
@@ -102,6 +141,22 @@ def stream_ab_metrics(
     return spark.read.parquet(out)
 
 
+def ab_metrics_to_end(
+    spark: SparkSession, folder: str, out: str, checkpoint: str, window: str = "1 day", lateness: str = "1 hour",
+    split: float = 0.5, **source,
+) -> DataFrame:
+    """``stream_ab_metrics`` over a finished input: every window is written."""
+    return run_to_end(
+        spark, folder, lambda e: metric_windows(e, window, lateness, split), out, checkpoint, GAP, **source
+    )
+
+
+def value_percentiles_to_end(
+    spark: SparkSession, folder: str, out: str, checkpoint: str, window: str = "1 day", lateness: str = "1 hour", **source
+) -> DataFrame:
+    return run_to_end(spark, folder, lambda e: percentile_windows(e, window, lateness), out, checkpoint, GAP, **source)
+
+
 def stream_value_percentiles(
     spark: SparkSession, folder: str, out: str, checkpoint: str, window: str = "1 day", lateness: str = "1 hour", **source
 ) -> DataFrame:

@@ -35,7 +35,7 @@ def frame(spark, *changes):
         ({"reviewText": "see http://x.y for more"}, "spam"),
         ({"reviewText": "Click HERE for a prize"}, "spam"),
         ({"reviewText": "you should buy   now please"}, "spam"),
-        ({"reviewText": "abcdefghij " * 91}, "spam"),
+        ({"reviewText": "ab " * 400}, "spam"),
         ({"unixReviewTime": 100_000_000}, "time"),
         ({"unixReviewTime": None}, "time"),
         ({"reviewTime": "13 45, 2014"}, "time"),
