@@ -98,3 +98,27 @@ def test_single_row_user_has_null_gap_and_std(spark):
     assert enrich.days_between_reviews(df, ("asin",)).first().days_since_last_review is None
     row = features.user_rolling(df, ("asin",)).first()
     assert row.user_rolling_std_rating is None and row.user_rolling_sentiment_trend == 0
+
+
+def test_null_users_and_times_do_not_depend_on_hot_rows(spark):
+    """A null user is a user, a null time is older than all others, whatever path a key takes."""
+    from reviewmill.operators import enrich
+
+    rows = [
+        (user, f"B{i:03d}", float(i % 5 + 1), i % 3, i % 4, None if i % 7 == 0 else f"2020-01-{i % 9 + 1:02d}")
+        for i, user in enumerate([None, "A1", "A2", None, "A1"] * 8)
+    ]
+    schema = "reviewerID string, asin string, overall double, helpful_votes int, total_votes int, day string"
+    df = spark.createDataFrame(rows, schema).withColumn("review_timestamp", F.col("day").cast("timestamp_ntz")).drop("day")
+    ties = ("asin", "overall", "helpful_votes", "total_votes")
+
+    def of(frame):
+        return sorted(map(repr, (tuple(r) for r in frame.select(sorted(frame.columns)).collect())))
+
+    assert of(enrich.timeline(df, ties, hot_rows=0)) == of(enrich.timeline(df, ties))
+    running = {(r["reviewerID"], r["asin"]): r["user_total_reviews"] for r in enrich.running_reviews(df).collect()}
+    plain = {(r["reviewerID"], r["asin"]): r["user_total_reviews"] for r in enrich.timeline(df, ties).collect()}
+    assert running == plain
+    for hot_rows in (0, 5, None):
+        got = enrich.recency_rank(df, ties, hot_rows)
+        assert of(got) == of(enrich.recency_rank(df, ties))

@@ -104,3 +104,45 @@ def test_simple_monitor_alerts(spark):
     kinds = [a.split()[1] for a in row.alerts]
     assert kinds == ["HIGH_NULLS", "INVALID_VALUES", "BIASED_DISTRIBUTION", "COLD_START"]
     assert row.overall_score == pytest.approx((1 + 0.7 + 0.5 + 0.7) / 4)
+
+
+def test_dead_attempts_are_not_read(spark, tmp_path):
+    """What a run that died before its pointer row has left stays out of the next version."""
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "x long, p string")
+    writers.write_table(rows, path, ["p"])
+    for name in ("v=2", "v2-dead"):
+        rows.withColumn("p", F.lit("z")).write.partitionBy("p").parquet(f"{path}/{name}")
+    assert writers.write_table(rows.filter("x = 2"), path, ["p"]) == 2
+    assert [tuple(r) for r in writers.read_table(spark, path).select("x", "p").collect()] == [(2, "b")]
+    assert writers.vacuum_table(spark, path) == [1]
+    assert writers.write_table(rows, path, ["p"]) == 3
+    writers._log(spark, path, 3, "live", "v3-other")
+    with pytest.raises(ValueError, match="published 2 times"):
+        writers.read_table(spark, path)
+
+
+def test_republished_features_replace_all_partitions(spark, tmp_path):
+    path = str(tmp_path / "f")
+    rows = spark.createDataFrame([("u", "i", "2020-01-01", 1.0, 0.5, 1), ("v", "i", "2020-01-01", 2.0, 0.5, 2)],
+                                 "reviewerID string, asin string, review_timestamp string, overall double, f double, part int")
+    keys = ("reviewerID", "asin", "review_timestamp", "part")
+    writers.publish_features(rows, ["f"], path, "1", "2020-01-01", ["part"], keys=keys)
+    writers.publish_features(rows.filter("part = 1"), ["f"], path, "1", "2020-01-01", ["part"], keys=keys)
+    assert spark.read.parquet(f"{path}/feature_version=1").count() == 1
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    from reviewmill import session
+
+    folders = []
+    context = SimpleNamespace(
+        master="spark://host:7077", getCheckpointDir=lambda: folders[-1] if folders else None, setCheckpointDir=folders.append
+    )
+    fake = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(fake)
+    named = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: "hdfs://shared"))
+    assert session.shared_folder(named) == "hdfs://shared"
