@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from reviewmill.session import materialise
 
-KEY = "row_key"
+KEY = "_llm_row_key"
 
 
 def with_key(docs: DataFrame) -> DataFrame:
-    """Adds ``row_key``: the doc_id itself, if ids are unique and not null.
+    """Adds the column ``KEY``: the doc_id itself, if ids are unique and not null.
 
     Otherwise rows are ordered by (doc_id, text), null ids first, and numbered: rows
     that share an id, or have none, are documents of their own that follow each

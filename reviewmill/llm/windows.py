@@ -23,7 +23,7 @@ of their texts (see ``keyed``); an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,11 +34,12 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm import common, spans
 from reviewmill.llm.keyed import KEY, with_key
-from reviewmill.session import materialise
 
 WINDOW, GRAM = 20, 10
 #: Counters per row of the sketch (as a power of two) and rows; counters take 2 bits once merged.
 SKETCH_BITS, SKETCH_ROWS = 26, 2
+#: Name of the column that carries a document's repeated windows.
+STARTS = "_llm_window_starts"
 #: Counters per slice of a sketch on its way to being merged.
 _SLICE_BITS = 16
 
@@ -52,8 +53,8 @@ def _runs(batch: pa.RecordBatch, window: int, gram: int) -> tuple[spans.Words, s
     return words, spans.anchored_runs(words.hashes(), words.text, window, gram)
 
 
-def sketch(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int = SKETCH_BITS) -> bytes:
-    """The merged sketch: two bits per counter (0, 1, 2 or more), row after row."""
+def sketch_of(docs: DataFrame, grams_of: Callable[[pa.RecordBatch], np.ndarray], bits: int = SKETCH_BITS) -> bytes:
+    """The merged sketch of the anchors that ``grams_of`` finds: two bits per counter (0, 1, 2 or more), row after row."""
     width, slice_bits = 1 << bits, min(_SLICE_BITS, bits)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,7 +62,7 @@ def sketch(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int =
 
         counters = np.zeros(SKETCH_ROWS * width, np.uint8)
         for batch in common.steps(batches):
-            found = _runs(batch, window, gram)[1].gram
+            found = grams_of(batch)
             for row in range(SKETCH_ROWS):
                 cells, times = np.unique(_cells(found, bits, row) + row * width, return_counts=True)
                 counters[cells] = np.minimum(counters[cells] + np.minimum(times, 2), 2)
@@ -95,7 +96,7 @@ def sketch(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int =
     return bytes(out)
 
 
-def _repeated(gram: np.ndarray, merged: np.ndarray, bits: int) -> np.ndarray:
+def estimated_repeated(gram: np.ndarray, merged: np.ndarray, bits: int) -> np.ndarray:
     """Which anchors the sketch counts at least twice in every row."""
     found = np.ones(len(gram), bool)
     for row in range(SKETCH_ROWS):
@@ -104,7 +105,7 @@ def _repeated(gram: np.ndarray, merged: np.ndarray, bits: int) -> np.ndarray:
     return found
 
 
-def _earliest(h1: np.ndarray, h2: np.ndarray, key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def earliest(h1: np.ndarray, h2: np.ndarray, key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows by (hash, key, place) and which of them come first of their hash."""
     order = np.lexsort((at, key, h2, h1))
     a, b = h1[order], h2[order]
@@ -112,7 +113,7 @@ def _earliest(h1: np.ndarray, h2: np.ndarray, key: np.ndarray, at: np.ndarray) -
 
 
 def _window_rows(docs: DataFrame, merged: bytes, window: int, gram: int, bits: int) -> DataFrame:
-    """(h1, h2, key, at): candidate windows; h2 is null for windows that their own task has settled as repeats."""
+    """(h1, h2, key, at, n): candidate windows with n = 0, and runs of n places that their own task has settled."""
     shared = docs.sparkSession.sparkContext.broadcast(merged)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +121,7 @@ def _window_rows(docs: DataFrame, merged: bytes, window: int, gram: int, bits: i
         held: list[list[np.ndarray]] = []
         for batch in common.steps(batches):
             words, runs = _runs(batch, window, gram)
-            wanted = _repeated(runs.gram, table, bits)
+            wanted = estimated_repeated(runs.gram, table, bits)
             first, count = runs.window[wanted], runs.count[wanted]
             at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
             if not len(at):
@@ -141,23 +142,31 @@ def _window_rows(docs: DataFrame, merged: bytes, window: int, gram: int, bits: i
 
     def settle(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         h1, h2, key, at = (np.concatenate(x) for x in zip(*held))
-        order, first = _earliest(h1, h2, key, at)
-        h1, h2, key, at = h1[order], h2[order], key[order], at[order].astype(np.int32)
+        order, first = earliest(h1, h2, key, at)
+        sent, late = order[first], order[~first]
+        yield from rows(h1[sent], h2[sent], key[sent], at[sent], np.zeros(len(sent)))
+        # What is settled goes as runs of places, dealt out by a mixed key.
+        late = late[np.lexsort((at[late], key[late]))]
+        k, p = key[late], at[late]
+        begins = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (p[1:] != p[:-1] + 1)]) if len(late) else late
+        k, p, n = k[begins], p[begins], np.diff(np.r_[begins, len(late)])
+        yield from rows(spans.mix((k + p).view(np.uint64)).view(np.int64), np.zeros(len(k)), k, p, n)
+
+    def rows(h1, h2, key, at, n) -> Iterator[pa.RecordBatch]:
+        h2, at, n = h2.astype(np.uint32).view(np.int32), at.astype(np.int32), n.astype(np.int32)
         for a in range(0, len(h1), 200_000):
             part = slice(a, a + 200_000)
-            yield common.columns_to_batch(
-                "h1,h2,key,at", h1[part], pa.array(h2[part].astype(np.int32), mask=~first[part]), key[part], at[part]
-            )
+            yield common.columns_to_batch("h1,h2,key,at,n", h1[part], h2[part], key[part], at[part], n[part])
 
-    return docs.select(KEY, "text").mapInArrow(run, "h1 long, h2 int, key long, at int")
+    return docs.select(KEY, "text").mapInArrow(run, "h1 long, h2 int, key long, at int, n int")
 
 
 def _losers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows in order of h1: all but the earliest of each hash."""
+    """Of rows in order of h1: the settled runs, and all but the earliest place of each hash."""
     held = None
-    for batch in _peeked(batches):
+    for batch in with_end(batches):
         if batch is not None:
-            got = [np.asarray(batch.column(c)) for c in ("h1", "h2", "key", "at")]
+            got = [np.asarray(batch.column(c)) for c in ("h1", "h2", "key", "at", "n")]
             held = got if held is None else [np.concatenate(x) for x in zip(held, got)]
             cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
         elif held is None:
@@ -166,13 +175,14 @@ def _losers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cut = len(held[0])
         now, held = [x[:cut] for x in held], [x[cut:] for x in held]
         if cut:
-            order, first = _earliest(*now)
-            late = order[~first]
+            settled, loose = np.flatnonzero(now[4] > 0), np.flatnonzero(now[4] == 0)
+            order, first = earliest(*(x[loose] for x in now[:4]))
+            late = np.r_[settled, loose[order[~first]]]
             if len(late):
-                yield common.columns_to_batch("key,at", now[2][late], now[3][late])
+                yield common.columns_to_batch("key,at,n", now[2][late], now[3][late], np.maximum(now[4][late], 1))
 
 
-def _peeked(batches: Iterator) -> Iterator:
+def with_end(batches: Iterator) -> Iterator:
     yield from batches
     yield None
 
@@ -180,12 +190,10 @@ def _peeked(batches: Iterator) -> Iterator:
 def repeated_windows(
     docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int = SKETCH_BITS
 ) -> DataFrame:
-    """(key, at): word places where a window starts whose words also start earlier."""
-    merged = sketch(docs, window, gram, bits)
-    rows = materialise(_window_rows(docs, merged, window, gram, bits))
-    settled = rows.filter("h2 is null").select("key", "at")
-    open_rows = rows.filter("h2 is not null").repartition("h1", "h2").sortWithinPartitions("h1")
-    return settled.unionByName(open_rows.mapInArrow(_losers, "key long, at int"))
+    """(key, at, n): runs of ``n`` word places where a window starts whose words also start earlier."""
+    merged = sketch_of(docs, lambda batch: _runs(batch, window, gram)[1].gram, bits)
+    rows = _window_rows(docs, merged, window, gram, bits)
+    return rows.repartition("h1").sortWithinPartitions("h1").mapInArrow(_losers, "key long, at int, n int")
 
 
 def _kept(text: bytes, starts: list[int] | None, window: int) -> tuple[list[bytes], int]:
@@ -193,16 +201,19 @@ def _kept(text: bytes, starts: list[int] | None, window: int) -> tuple[list[byte
     words = text.split()
     if not starts:
         return words, len(words)
-    at = np.asarray(starts, np.int64)
-    gone = spans.covered(at, at + window, len(words))
+    packed = np.asarray(starts, np.int64)
+    first = packed >> 32
+    gone = spans.covered(first, first + (packed & 0xFFFFFFFF) - 1 + window, len(words))
     return [w for w, lost in zip(words, gone.tolist()) if not lost], len(words)
 
 
 def _joined(docs: DataFrame, window: int, gram: int, bits: int) -> DataFrame:
     """``docs`` with a key and the places of repeated windows (null: none)."""
     found = repeated_windows(docs, window, gram, bits)
-    starts = found.groupBy("key").agg(F.collect_list("at").alias("window_starts"))
-    return docs.join(starts, docs[KEY] == starts["key"], "left").drop("key")
+    # A run is one number: place and length side by side.
+    packed = F.shiftleft(F.col("at").cast("long"), 32) + F.col("n")
+    starts = found.groupBy(F.col("key").alias(KEY)).agg(F.collect_list(packed).alias(STARTS))
+    return docs.join(starts, KEY, "left")
 
 
 def removal(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int = SKETCH_BITS) -> DataFrame:
@@ -211,7 +222,7 @@ def removal(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.steps(batches):
             rows = []
-            for text, starts in zip(common.raw_texts(batch), batch.column("window_starts").to_pylist()):
+            for text, starts in zip(common.raw_texts(batch), batch.column(STARTS).to_pylist()):
                 kept, n = _kept(text, starts, window)
                 rows.append((n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
             n, removed, digest = zip(*rows)
@@ -221,7 +232,7 @@ def removal(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int =
             )
 
     keyed = with_key(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return _joined(keyed, window, gram, bits).select("doc_id", "text", "window_starts").mapInArrow(
+    return _joined(keyed, window, gram, bits).select("doc_id", "text", STARTS).mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept_sha256 string"
     )
 
@@ -235,7 +246,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits
         for batch in common.steps(batches):
             texts, stay = [], []
             old = batch.column("text").to_pylist()
-            for text, starts in zip(old, batch.column("window_starts").to_pylist()):
+            for text, starts in zip(old, batch.column(STARTS).to_pylist()):
                 if starts:
                     kept, _ = _kept(text.encode(), starts, window)
                     text = b" ".join(kept).decode()
@@ -243,12 +254,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits
                 else:
                     stay.append(True)
                 texts.append(text)
-            cols = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in [*columns, "window_starts"]]
-            yield pa.RecordBatch.from_arrays(cols, [*columns, "window_starts"]).filter(pa.array(stay))
+            cols = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in [*columns, STARTS]]
+            yield pa.RecordBatch.from_arrays(cols, [*columns, STARTS]).filter(pa.array(stay))
 
-    found = _joined(with_key(docs), window, gram, bits).select(*columns, "window_starts")
+    found = _joined(with_key(docs), window, gram, bits).select(*columns, STARTS)
     changed = found.mapInArrow(run, found.schema)
     if "n_chars" in columns:
-        size = F.when(F.col("window_starts").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+        size = F.when(F.col(STARTS).isNull(), F.col("n_chars")).otherwise(F.length("text"))
         changed = changed.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
     return changed.select(*columns)
