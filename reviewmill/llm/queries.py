@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import chat, langid, maxscore, packing, quality, simhash, toxicity, windows, winnowing
+from reviewmill.llm import chat, langid, maxscore, packing, quality, simhash, suffixes, toxicity, windows, winnowing
 from reviewmill.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op2_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op3_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
     said = "</s>[INST] ok [/INST]"
@@ -75,6 +79,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_weak_toxicity": op1_weak_toxicity,
         "op2_marginal_unigrams": op2_marginal_unigrams,
+        "op3_sparse_suffixes": op3_sparse_suffixes,
         "op4_chat_offsets": op4_chat_offsets,
         "op5_count_min_windows": op5_count_min_windows,
         "op6_winnowing": op6_winnowing,
