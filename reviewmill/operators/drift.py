@@ -45,7 +45,7 @@ def _two_samples(current: DataFrame, reference: DataFrame, cols: Sequence[str])
 def _ks(samples: DataFrame) -> DataFrame:
     totals = samples.groupBy("metric").agg(F.sum("c").alias("n_cur"), F.sum("r").alias("n_ref"))
     gap = F.abs(F.try_divide("fc", "n_cur") - F.try_divide("fr", "n_ref"))
-    stats = samples.join(totals, "metric").groupBy("metric", "n_cur", "n_ref").agg(F.max(gap).alias("ks_statistic"))
+    stats = samples.join(materialise(totals), "metric").groupBy("metric", "n_cur", "n_ref").agg(F.max(gap).alias("ks_statistic"))
     p = kolmogorov_sf(F.col("ks_statistic"), F.col("n_cur"), F.col("n_ref"))
     return stats.withColumn("ks_pvalue", p)
 
@@ -102,7 +102,7 @@ def hellinger_drift(current: DataFrame, reference: DataFrame, cols: Sequence[str
     )
     distance = F.sqrt(F.sum(gap * gap) / 2)
     return (
-        counts.join(totals, "metric")
+        counts.join(materialise(totals), "metric")
         .groupBy("metric")
         .agg(distance.alias("hellinger_distance"))
         .withColumn("drift_score", F.col("hellinger_distance"))

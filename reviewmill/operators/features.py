@@ -250,6 +250,16 @@ def percentile_ranks(df: DataFrame, cols: dict[str, str], base: DataFrame | None
     return out
 
 
+#: Columns of ``build_features`` that are made of ratings, the row's own among them: a model of the rating
+#: must not see them, and a feature store for such a model does not carry them.
+TARGET_DERIVED = (
+    "sentiment_score", "user_avg_rating", "user_rating_std", "user_rolling_avg_rating", "user_rolling_std_rating",
+    "user_rolling_sentiment_trend", "product_avg_rating", "product_rating_std", "product_rolling_avg_rating",
+    "product_rolling_rating_trend", "rating_confidence", "engagement_intensity", "rating_length_interaction",
+    "sentiment_length_correlation", "rating_sentiment_consistency", "rating_vs_global", "sentiment_vs_global",
+    "rating_percentile",
+)
+
 PERCENTILES = {
     "overall": "rating_percentile",
     "word_count": "length_percentile",

@@ -195,7 +195,8 @@ def distribution(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("copies"))
     cum = group_totals(counts, keys, "value", {"cum": F.col("copies")})
     totals = cum.groupBy(*keys).agg(F.max("cum").alias("rows"))
-    joined = cum.join(totals, keys) if keys else attach_totals(cum, totals)
+    # One row per key. Stored, so that its size is known and the value table need not move for the join.
+    joined = cum.join(materialise(totals), keys) if keys else attach_totals(cum, totals)
     return joined.select(*keys, "value", "copies", "cum", "rows")
 
 
@@ -228,6 +229,7 @@ def moments(dist: DataFrame, keys: Sequence[str]) -> DataFrame:
     first = dist.groupBy(*keys).agg(
         F.sum("copies").alias("n"), mean.alias("mean"), F.min("value").alias("min"), F.max("value").alias("max")
     )
+    first = materialise(first) if keys else first
     centred = dist.join(first.select(*keys, "mean"), list(keys)) if keys else attach_totals(dist, first.select("mean"))
     spread = centred.groupBy(*keys).agg(
         F.sum(copies * (value - F.col("mean")) * (value - F.col("mean"))).alias("__ss"), F.sum("copies").alias("__n")

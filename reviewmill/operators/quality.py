@@ -12,6 +12,7 @@ from reviewmill.operators import ordered
 from reviewmill.operators.drift import ALL_METRICS
 from reviewmill.operators.joins import attach_totals
 from reviewmill.operators.validate import value_counts
+from reviewmill.session import materialise
 
 BOX = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -240,7 +241,7 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
     outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
     counted = (
-        dist.join(bounds, "column")
+        dist.join(materialise(bounds), "column")
         .groupBy("column", "lower_bound", "upper_bound")
         .agg(
             F.coalesce(F.sum(F.when(outside, F.col("copies"))), F.lit(0)).alias("count"),
@@ -290,7 +291,7 @@ def box_stats(df: DataFrame, group: str, col: str) -> DataFrame:
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     value = F.col("value")
     return (
-        dist.join(box, group)
+        dist.join(materialise(box), group)
         .groupBy(group, "q1", "median", "q3")
         .agg(
             F.sum("copies").alias("n"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from reviewmill.operators import features, selection
@@ -9,7 +11,7 @@ from reviewmill.plans.etl_queries import TIES_ASC
 from reviewmill.plans.registry import Catalog, r6, rounded
 from reviewmill.plans.views import sql
 from reviewmill.sources import testviews as tv
-from reviewmill.session import materialise
+from reviewmill.session import materialise, shared_folder
 from reviewmill.sources import writers
 
 catalog = Catalog()
@@ -307,9 +309,44 @@ def build_features(spark, sf_dir):
     return rounded(out, *doubles)
 
 
-@catalog.add("feature_store")
+_CANDIDATES = (
+    "helpful_votes", "total_votes", "word_count", "char_count", "avg_word_length", "text_complexity",
+    "sentiment_intensity", "helpfulness_ratio", "review_year", "review_month", "review_day", "review_weekday",
+    "review_hour", "review_dayofyear", "is_weekend", "is_holiday", "month_sin", "month_cos", "weekday_sin", "weekday_cos",
+    "days_before_newest", "weeks_before_newest", "user_popularity", "user_activity_days", "user_review_frequency",
+    "user_product_diversity", "user_rarity_score", "user_review_count", "user_rolling_avg_length",
+    "product_popularity_count", "product_lifetime_days", "product_user_diversity", "product_rarity_score",
+    "product_rolling_popularity_trend", "popularity_match", "diversity_match", "review_completeness",
+    "content_freshness", "length_vs_global", "length_percentile", "helpfulness_percentile",
+)
+_SPLIT = _BUILD.index(f"\nselect {ID_SQL}, overall, category")
+_STORE = _BUILD[:_SPLIT] + f", built as ({_BUILD[_SPLIT:]}), f as (" + "\nunion all\n".join(f"""
+select '{c}' as feature, case when sum(n * v) > 1e-18 then
+  (sum(n * m * m) - sum(n * m) * sum(n * m) / sum(n)) / (count(*) - 1) / (sum(n * v) / (sum(n) - count(*))) end as f_score
+from (select overall, count(*)::double as n, avg({c}) as m, var_pop({c}) as v from built group by 1)"""
+    for c in _CANDIDATES) + "), best as (select feature from f order by f_score desc nulls last, feature limit 25), means as (" + (
+    "\nunion all\n".join(f"select '{c}' as feature, count(*) as records, round(avg({c}), 4) as mean_value from built"
+                          for c in _CANDIDATES)) + """)
+select feature, records, mean_value, 0e0 as scaled_mean, '1.0' as feature_version, 25 as feature_count
+from means where feature in (select feature from best)"""
+
+
+@catalog.add("feature_store", sql(_STORE, "frame"))
 def feature_store(spark, sf_dir):
+    """Selects, scales, publishes and reads back; a row per stored feature."""
     df = materialise(features.build_features(materialise(tv.frame(spark, sf_dir, intensity=True)), tv.TIES))
-    candidates = selection.numeric_columns(df, exclude=["overall", "doc_id"])
+    candidates = selection.numeric_columns(df, exclude=["overall", "doc_id", *features.TARGET_DERIVED])
     chosen = selection.select_k_best(df, candidates, "overall", 25)
-    return writers.feature_store(selection.scale(df, chosen), chosen, "1.0", "2002-01-01T00:00:00")
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    writers.publish_features(selection.scale(df, chosen), chosen, path, "1.0", "2002-01-01T00:00:00")
+    stored = spark.read.parquet(f"{path}/feature_version=1.0")
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"), F.col(f"{c}_scaled").alias("scaled"))
+        for c in chosen
+    ])).alias("__p")
+    return stored.select("feature_version", "feature_count", pairs).groupBy(
+        "__p.feature", "feature_version", "feature_count"
+    ).agg(
+        F.count(F.lit(1)).alias("records"), F.round(F.avg("__p.value"), 4).alias("mean_value"),
+        (F.round(F.avg("__p.scaled"), 4) + 0.0).alias("scaled_mean"),
+    )
