@@ -134,7 +134,7 @@ def _window_rows(docs: DataFrame, merged: bytes, window: int, gram: int, bits: i
             text = words.text[at]
             keys = np.asarray(batch.column(KEY))[text]
             held.append([h[:, 0], h[:, 1] & np.int64(0xFFFFFFFF), keys, at - words.first[text]])
-            if sum(len(x[0]) for x in held) > 2_000_000:
+            if sum(len(x[0]) for x in held) > 1_000_000:
                 yield from settle(held)
                 held = []
         if held:
