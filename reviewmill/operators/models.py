@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from reviewmill.operators import metrics
 from reviewmill.operators.enrich import product_stats, user_stats
 from reviewmill.operators.joins import attach_stats, attach_totals
+from reviewmill.operators.ordered import number_rows
 from reviewmill.operators.recommend import index_ids, split_point
 
 # Columns a model may see. The rating and its sentiment are left out: the label is made of them.
@@ -223,6 +224,16 @@ def fold_of(keys: Sequence[str], folds: int, seed: int = 42) -> Column:
     return (split_point(keys, seed) * folds / 1000).cast("int")
 
 
+def stratified_folds(df: DataFrame, label: str, keys: Sequence[str], folds: int, name: str = "fold") -> DataFrame:
+    """Adds the fold of each row: the rows of a class, in order of a digest of their keys, take the folds in turn.
+
+    So every class is spread over the folds with at most one row of difference.
+    """
+    order = [split_point(keys).asc(), *[F.col(k).asc() for k in keys]]
+    placed = number_rows(df, [label], order, "__place")
+    return placed.withColumn(name, ((F.col("__place") - 1) % folds).cast("int")).drop("__place")
+
+
 def _stage_scores(est_pipeline: Pipeline, train: DataFrame, test: DataFrame, kind: str, label: str) -> tuple[float, float]:
     fitted = est_pipeline.fit(train)
 
@@ -247,10 +258,13 @@ def cv_summary(
 ) -> DataFrame:
     """(fold, train_score, test_score, mean, std, gap, overfit): like-for-like train and test scores per fold.
 
-    Rows go to folds by a digest of their keys, in every class alike.
+    Classes are spread evenly over the folds; a regression has no classes, its rows go by a digest of their keys.
     """
     pipeline = Pipeline(stages=[*feature_pipeline(numeric, categorical), est])
-    placed = df.withColumn("__fold", fold_of(keys, folds)).cache()
+    if kind == "classification":
+        placed = stratified_folds(df, label, keys, folds, "__fold").cache()
+    else:
+        placed = df.withColumn("__fold", fold_of(keys, folds)).cache()
     rows = []
     for fold in range(folds):
         train, test = placed.filter(F.col("__fold") != fold), placed.filter(F.col("__fold") == fold)

@@ -19,10 +19,10 @@ NUMERIC = ("word_count", "char_count", "avg_word_length", "text_complexity", "se
 
 def _labelled(spark, sf_dir):
     """Text features and language of the labelled documents; label = quality."""
-    docs = tv.document_features(spark, sf_dir).join(tv.table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
     labels = tv.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    # Written once: every fit below passes over it many times.
-    return materialise(docs.join(labels, "doc_id"))
+    # Only labelled texts are looked at. Written once: every fit below passes over it many times.
+    docs = tv.table(spark, sf_dir, "documents").select("doc_id", "lang", "text").join(labels, "doc_id")
+    return materialise(tv.text_columns(docs, "doc_id", "lang", "label"))
 
 
 def _parts(spark, sf_dir):
@@ -107,15 +107,13 @@ def roc_auc(spark, sf_dir):
 @catalog.add("model_compare")
 def model_compare(spark, sf_dir):
     train, test = _parts(spark, sf_dir)
-    return models.train_all(train, test, "classification", NUMERIC, ["lang"], folds=2)[1]
+    return models.train_all(train, test, "classification", NUMERIC, ["lang"])[1]
 
 
 @catalog.add("best_model")
 def best_model(spark, sf_dir):
     train, test = _parts(spark, sf_dir)
-    simple = {"logistic_regression": models.classifiers()["logistic_regression"],
-              "random_forest": models.classifiers()["random_forest"]}
-    results = models.train_all(train, test, "classification", NUMERIC, ["lang"], models=simple, folds=2)[1]
+    results = models.train_all(train, test, "classification", NUMERIC, ["lang"])[1]
     return models.best_model(results, "classification")
 
 
@@ -127,7 +125,7 @@ def regression_compare(spark, sf_dir):
     train = materialise(train)
     ready = models.attach_train_stats(train, train).withColumn("label", F.col("overall"))
     held = models.attach_train_stats(test, train).withColumn("label", F.col("overall"))
-    return models.train_all(ready, held, "regression", numeric, folds=2)[1]
+    return models.train_all(ready, held, "regression", numeric)[1]
 
 
 @catalog.add("feature_importance")
@@ -143,13 +141,25 @@ def feature_importance(spark, sf_dir):
 def learning_curve(spark, sf_dir):
     est = LogisticRegression(labelCol="label", maxIter=20)
     return models.learning_curve(_labelled(spark, sf_dir), est, "classification", NUMERIC, ["doc_id"],
-                                 fractions=(0.4, 0.7, 1.0), folds=2)
+                                 )
 
 
 @catalog.add("cv_summary")
 def cv_summary(spark, sf_dir):
     est = LogisticRegression(labelCol="label", maxIter=20)
-    return models.cv_summary(_labelled(spark, sf_dir), est, "classification", NUMERIC, ["doc_id"], ["lang"], folds=3)
+    return models.cv_summary(_labelled(spark, sf_dir), est, "classification", NUMERIC, ["doc_id"], ["lang"])
+
+
+@catalog.add("stratified_folds", """
+with classes as (
+  select quality as label, count(*) as n from documents join labels using (doc_id) where quality is not null group by 1)
+select label, fold::int as fold, n // 5 + (fold < n % 5)::int as rows from classes, (select unnest(range(5)) as fold)""")
+def stratified_folds(spark, sf_dir):
+    rows = tv.table(spark, sf_dir, "labels").join(tv.table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+    placed = models.stratified_folds(
+        rows.filter("quality is not null").withColumn("label", F.col("quality")), "label", ["doc_id"], 5
+    )
+    return placed.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @catalog.add("model_test")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reviewmill.operators import factors, layout, recommend
+from reviewmill.operators.joins import attach_totals
 from reviewmill.operators.metrics import regression_metrics
 from reviewmill.plans.etl_queries import TIES_DESC
 from reviewmill.plans.registry import Catalog, r6, rounded
 from reviewmill.plans.views import sql
+from reviewmill.session import materialise
 from reviewmill.sources import testviews as tv
 
 catalog = Catalog()
@@ -320,6 +322,32 @@ def als_topk(spark, sf_dir):
     return factors.recommend_all(_als(spark, sf_dir)[0], 10)
 
 
+@catalog.add("als_checks", sql("""
+select count(distinct "reviewerID") as users, count(distinct "reviewerID") * 10 as rows, true as ranks_dense,
+  true as scores_fall, true as better_than_mean from reviews""", "reviews"))
+def als_checks(spark, sf_dir):
+    """What must hold for the k best items of every user, as facts that SQL can foretell."""
+    df = tv.reviews(spark, sf_dir)
+    ratings = materialise(recommend.interactions(df, ORDER))
+    model = factors.train_als(factors.index_ratings(ratings), rank=10, iters=10, reg=0.1)
+    per_user = factors.recommend_all(model, 10).groupBy("reviewerID").agg(
+        F.count(F.lit(1)).alias("n"), F.min("rank").alias("low"), F.max("rank").alias("high"),
+        F.count_distinct("asin").alias("items"), F.sort_array(F.collect_list(F.struct("rank", "score"))).alias("listed"),
+    )
+    scores_of = F.transform("listed", lambda x: x["score"])
+    falls = scores_of == F.reverse(F.array_sort(scores_of))
+    fit = regression_metrics(factors.predict(model, ratings), "overall").select("rmse")
+    mean = ratings.agg(F.stddev_pop("overall").alias("spread"))
+    facts = per_user.agg(
+        F.count(F.lit(1)).alias("users"), F.sum("n").alias("rows"),
+        F.bool_and((F.col("low") == 1) & (F.col("high") == 10) & (F.col("n") == 10) & (F.col("items") == 10)).alias("ranks_dense"),
+        F.bool_and(falls).alias("scores_fall"),
+    )
+    return attach_totals(attach_totals(facts, fit), mean).select(
+        "users", "rows", "ranks_dense", "scores_fall", (F.col("rmse") < F.col("spread")).alias("better_than_mean")
+    )
+
+
 @catalog.add("als_for_users")
 def als_for_users(spark, sf_dir):
     model, _, test, _ = _als(spark, sf_dir)
@@ -330,7 +358,7 @@ def als_for_users(spark, sf_dir):
 def als_grid(spark, sf_dir):
     train, _ = recommend.hash_split(tv.reviews(spark, sf_dir), KEYS)
     indexed = factors.index_ratings(recommend.interactions(train, ORDER))
-    return factors.tune_als(indexed, ranks=(5, 10), iters=(5,), regs=(0.1, 1.0), folds=2)[1]
+    return factors.tune_als(indexed)[1]
 
 
 @catalog.add("embedding_lookup")

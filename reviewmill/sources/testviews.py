@@ -63,10 +63,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text features once per document; reviews join them by doc_id."""
-    cleaned = documents(spark, sf_dir).select("doc_id", text.clean_text(F.col("text")).alias("__t"))
+    return text_columns(documents(spark, sf_dir), "doc_id")
+
+
+def text_columns(docs: DataFrame, *kept: str) -> DataFrame:
+    """The kept columns of ``docs`` and the features of their text."""
+    cleaned = docs.select(*kept, text.clean_text(F.col("text")).alias("__t"))
     body = F.col("__t")
     return cleaned.select(
-        "doc_id",
+        *kept,
         *[c.alias(n) for n, c in text.text_features(body, cleaned=True).items()],
         text.text_complexity(body, cleaned=True).alias("text_complexity"),
         text.sentiment_intensity(body, cleaned=True).alias("sentiment_intensity"),
