@@ -18,9 +18,9 @@ merged at the end. Vectors with equal components share a posting, so
 copies cost one evaluation.
 
 Defined cases: vectors that are null, empty or hold a null, NaN or infinite component
-take no part, neither do ids that are null; vectors of another length than the most
-common length are compared with those of their own length only; of repeated ids every
-row is a candidate, and a query does not see rows of its own id; ties go to the smaller id.
+take no part, neither do ids that are null; a vector is compared with those of its own length
+only; of repeated ids every row is a query and a candidate, the queries share one ranking, and none
+sees a row of its own id; ties go to the smaller id.
 """
 
 from __future__ import annotations
