@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from reviewmill.plans import catalog
@@ -41,6 +42,9 @@ HEADLINE = (
     "ab_t_test",
     "ab_mann_whitney",
     "stream_ab_metrics",
+    "similar_users",
+    "user_knn",
+    "etl_job",
 )
 
 
@@ -49,7 +53,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
         "bench", master=f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="16g",
-        spark__ui__showConsoleProgress="false",
+        spark__ui__showConsoleProgress="false", spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = catalog.queries()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -67,7 +68,8 @@ if __name__ == "__main__":
     wanted = sys.argv[2:]
     sf_dir = f"/root/testdata/sf{sf}"
     spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="16g",
-                          spark__ui__showConsoleProgress="false")
+                          spark__ui__showConsoleProgress="false",
+                          spark__checkpoint__dir=tempfile.mkdtemp(prefix="harness-"))
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     queries, oracles = entry.queries(), entry.oracle_sql()
