@@ -9,6 +9,7 @@ from reviewmill.operators import cleaning, enrich
 from reviewmill.operators.joins import attach_stats
 from reviewmill.plans.registry import Catalog, r6, rounded
 from reviewmill.plans.views import sql
+from reviewmill.session import materialise
 from reviewmill.sources import testviews as tv
 
 catalog = Catalog()
@@ -133,7 +134,8 @@ from seq s join user_stats u on s."reviewerID" = u."reviewerID" join product_sta
 @catalog.add("enrich_reviews", sql(_ENRICH_SQL, "frame", "user_stats", "product_stats"))
 def enrich_reviews(spark, sf_dir):
     source = tv.frame(spark, sf_dir).drop("helpfulness_ratio", "sentiment_score", "rating_category")
-    out = enrich.enrich(source, AS_OF, tv.TIES, popularity_cuts=(35, 25))
+    # Stored once: timeline, statistics and the score pass over it, not over the joins behind it.
+    out = enrich.enrich(materialise(source), AS_OF, tv.TIES, popularity_cuts=(35, 25))
     return rounded(
         out, "user_avg_rating", "user_rating_std", "product_avg_rating", "product_rating_std", "rating_zscore",
         "engagement_score", "helpfulness_ratio", "helpfulness_score", "review_quality", "interaction_strength",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from reviewmill.operators import drift, enrich, quality, validate
 from reviewmill.plans.registry import Catalog, r6, rounded
 from reviewmill.plans.views import sql
+from reviewmill.session import materialise
 from reviewmill.sources import testviews as tv
 
 catalog = Catalog()
@@ -357,7 +358,8 @@ def simple_monitor(spark, sf_dir):
 
 
 def _halves(spark, sf_dir, source=tv.profile):
-    df = source(spark, sf_dir)
+    # Stored once: both halves are read several times by a report.
+    df = materialise(source(spark, sf_dir))
     new = F.col("review_timestamp") >= F.lit(CUT).cast("timestamp_ntz")
     return df.filter(new), df.filter(~new)
 
