@@ -115,6 +115,10 @@ def batch_recommend(users: DataFrame, recs: DataFrame, popular: DataFrame, k: in
     )
 
 
+def _digest(seed: int, col: str) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.col(col)))
+
+
 def route_recommendations(
     users: DataFrame, model: DataFrame, catalogue: DataFrame, k: int, seed: int = 42
 ) -> DataFrame:
@@ -125,13 +129,13 @@ def route_recommendations(
     position on a hashed ring of the catalogue, so no user meets the whole catalogue.
     """
     size = catalogue.agg(F.count(F.lit(1)).alias("__size"))
-    ring = catalogue.select("asin", F.xxhash64(F.lit(seed), "asin").alias("__h")).distinct()
+    ring = catalogue.select("asin", _digest(seed, "asin").alias("__h")).distinct()
     placed = ordered.group_totals(
         ring.withColumn("__key", F.struct("__h", "asin")), [], "__key", {"__pos": F.lit(1).cast("long")}
     ).select("asin", (F.col("__pos") - 1).alias("__pos"))
     control = attach_totals(users.filter(F.col("group") == "A"), size)
     steps = F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(k).cast("long"), F.col("__size")) - 1))
-    start = F.pmod(F.xxhash64(F.lit(seed), "reviewerID"), F.col("__size"))
+    start = F.pmod(F.conv(F.substring(_digest(seed, "reviewerID"), 1, 8), 16, 10).cast("long"), F.col("__size"))
     shuffled = (
         control.filter(F.col("__size") > 0)
         .withColumn("__step", steps)

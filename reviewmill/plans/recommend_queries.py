@@ -9,7 +9,7 @@ from reviewmill.operators.joins import attach_totals
 from reviewmill.operators.metrics import regression_metrics
 from reviewmill.plans.etl_queries import TIES_DESC
 from reviewmill.plans.registry import Catalog, r6, rounded
-from reviewmill.plans.views import sql
+from reviewmill.plans.views import BUCKET, sql
 from reviewmill.session import materialise
 from reviewmill.sources import testviews as tv
 
@@ -249,7 +249,17 @@ def batch_recommend(spark, sf_dir):
     return out.withColumn("recommendations", F.concat_ws(",", "recommendations"))
 
 
-@catalog.add("route_recommendations")
+@catalog.add("route_recommendations", sql(_SCORED + f"""
+, people as (select "reviewerID", case when {BUCKET} < 50 then 'A' else 'B' end as grp
+  from (select distinct "reviewerID", md5("reviewerID") as h from cut where is_train)),
+ring as (select asin, row_number() over (order by md5(concat('42|', asin)), asin) - 1 as pos
+  from (select distinct asin from cut where is_train)),
+steps as (select "reviewerID", step, (('0x' || substr(md5(concat('42|', "reviewerID")), 1, 8))::bigint + step)
+    % (select count(*) from ring) as pos
+  from people, (select unnest(range(5)) as step) where grp = 'A' and step < (select count(*) from ring))
+select "reviewerID", asin, (step + 1)::int as rank, 'random' as source from steps join ring using (pos)
+union all select t."reviewerID", t.asin, t.rn::int, 'model' from top t join people p on t."reviewerID" = p."reviewerID"
+where p.grp = 'B' and t.rn <= 5""", "reviews"))
 def route_recommendations(spark, sf_dir):
     from reviewmill.operators import experiments
 
