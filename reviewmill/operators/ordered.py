@@ -20,6 +20,7 @@ from reviewmill.session import materialise
 
 HOT_ROWS = 5_000_000  # one sorted task of this many narrow rows is still comfortable
 BLOCK_ROWS = 1_000_000  # rows of a hot key that share one frame computation
+SLICE_ROWS = 2_000_000  # rows of a slice of running totals, where the table's size is known
 SMALL_TABLE = 200_000  # (key, value) groups below which one task may hold a key's values
 
 
@@ -32,19 +33,22 @@ def running_totals(
     keys: Sequence[str],
     order: Sequence[Column],
     amounts: dict[str, Column],
+    rows: int | None = None,
 ) -> DataFrame:
     """Adds inclusive running sums along ``order`` within ``keys``.
 
     Works for any key size: range partitions on (keys, order), sums inside a
     slice with a local window, and adds the totals of earlier slices, of which
-    there are at most (#keys + #partitions).
+    there are at most (#keys + #partitions). ``rows``, if known, sets the number of
+    slices, so that none holds many more than ``SLICE_ROWS``.
     """
     keys = list(keys)
     staged = df
     for name, amount in amounts.items():
         staged = staged.withColumn(f"__amt_{name}", amount)
+    slices = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(rows or 0) // SLICE_ROWS))
     placed = materialise(
-        staged.repartitionByRange(*_columns(keys), *order).withColumn("__slice", F.spark_partition_id())
+        staged.repartitionByRange(slices, *_columns(keys), *order).withColumn("__slice", F.spark_partition_id())
     )
     totals = placed.groupBy(*keys, "__slice").agg(
         *[F.sum(f"__amt_{n}").alias(f"__tot_{n}") for n in amounts]
@@ -85,7 +89,7 @@ def group_totals(
     small = SMALL_TABLE if small is None else small
     fixed = materialise(counts)
     if fixed.limit(small + 1).count() > small:
-        return materialise(running_totals(fixed, keys, [F.col(value)], amounts))
+        return materialise(running_totals(fixed, keys, [F.col(value)], amounts, fixed.count()))
     span = W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
     return fixed.select("*", *[F.sum(a).over(span).alias(n) for n, a in amounts.items()])
 
@@ -114,8 +118,10 @@ def split_hot(
 def _number_hot(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     # Copies of one row compare equal in any order; a row id taken from the
     # written file separates them so that a group of copies can be split too.
-    fixed = materialise(rows).withColumn("__tie", F.monotonically_increasing_id())
-    return running_totals(fixed, keys, [*order, F.col("__tie")], {name: F.lit(1).cast("long")}).drop("__tie")
+    stored = materialise(rows)
+    fixed = stored.withColumn("__tie", F.monotonically_increasing_id())
+    ones = {name: F.lit(1).cast("long")}
+    return running_totals(fixed, keys, [*order, F.col("__tie")], ones, stored.count()).drop("__tie")
 
 
 def number_rows(
