@@ -123,3 +123,22 @@ def test_drift_report_rows_and_alerts(spark):
     assert sorted((r.type, r.severity) for r in raised) == [
         ("DRIFT", "HIGH"), ("DRIFT", "HIGH"), ("QUALITY", "MEDIUM"), ("QUALITY", "MEDIUM"), ("VOLUME", "MEDIUM")
     ]
+
+
+def test_mann_whitney_laws_meet_at_the_border(monkeypatch, spark):
+    """Just under and just over the size where the exact law ends, the two laws agree."""
+    import pandas as pd
+
+    from reviewmill.functions import special
+
+    law = special.mann_whitney_pvalue.func
+
+    def p(u, n, m):
+        return law(pd.Series([u]), pd.Series([n]), pd.Series([m]), pd.Series([0.0]))[0]
+
+    n, m = 6.0, 400.0
+    for u in (700.0, 1100.0, 1500.0):
+        exact = p(u, n, m)
+        monkeypatch.setattr(special, "EXACT_CELLS", 10)
+        assert abs(exact - p(u, n, m)) < 0.012
+        monkeypatch.undo()
