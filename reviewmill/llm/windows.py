@@ -26,7 +26,6 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -53,6 +52,20 @@ def _runs(batch: pa.RecordBatch, window: int, gram: int) -> tuple[spans.Words, s
     return words, spans.anchored_runs(words.hashes(), words.text, window, gram)
 
 
+def _counted(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The counters that were hit, in order, and how often (2 stands for more)."""
+    found, times = np.unique(cells, return_counts=True)
+    return found, np.minimum(times, 2).astype(np.uint8)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    cells = np.concatenate([c for c, _ in parts])
+    order = np.argsort(cells, kind="stable")
+    cells, times = cells[order], np.concatenate([t for _, t in parts])[order].astype(np.int64)
+    first = np.flatnonzero(np.diff(cells, prepend=-1))
+    return cells[first], np.minimum(np.add.reduceat(times, first), 2).astype(np.uint8) if len(first) else times[:0]
+
+
 def sketch_of(docs: DataFrame, grams_of: Callable[[pa.RecordBatch], np.ndarray], bits: int = SKETCH_BITS) -> bytes:
     """The merged sketch of the anchors that ``grams_of`` finds: two bits per counter (0, 1, 2 or more), row after row."""
     width, slice_bits = 1 << bits, min(_SLICE_BITS, bits)
@@ -60,34 +73,48 @@ def sketch_of(docs: DataFrame, grams_of: Callable[[pa.RecordBatch], np.ndarray],
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        counters = np.zeros(SKETCH_ROWS * width, np.uint8)
+        press, size = zstandard.ZstdCompressor(level=1), 1 << slice_bits
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in common.steps(batches):
             found = grams_of(batch)
-            for row in range(SKETCH_ROWS):
-                cells, times = np.unique(_cells(found, bits, row) + row * width, return_counts=True)
-                counters[cells] = np.minimum(counters[cells] + np.minimum(times, 2), 2)
-        slices = counters.reshape(-1, 1 << slice_bits)
-        press = zstandard.ZstdCompressor(level=1)
-        used = np.flatnonzero(slices.any(axis=1))
-        for at in range(0, len(used), 256):
-            some = used[at : at + 256]
+            held += [_counted(_cells(found, bits, row) + row * width) for row in range(SKETCH_ROWS)]
+            if len(held) > 64:
+                held = [_summed(held)]
+        if not held:
+            return
+        # Only the counters that this task has touched are kept; a slice is spread out to be packed.
+        cells, times = _summed(held)
+        cuts = np.flatnonzero(np.diff(cells >> slice_bits, prepend=-1))
+        for at in range(0, len(cuts), 256):
+            some = cuts[at : at + 256].tolist()
+            packed = []
+            for i, start in enumerate(some, at):
+                stop = int(cuts[i + 1]) if i + 1 < len(cuts) else len(cells)
+                counters = np.zeros(size, np.uint8)
+                counters[cells[start:stop] & (size - 1)] = times[start:stop]
+                packed.append(press.compress(counters.tobytes()))
             yield common.columns_to_batch(
-                "slice,counters", some.astype(np.int32), pa.array([press.compress(slices[i].tobytes()) for i in some])
+                "slice,counters", (cells[some] >> slice_bits).astype(np.int32), pa.array(packed, pa.binary())
             )
 
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Adds up the rows of each slice as they come, one slice after the other."""
         import zstandard
 
-        opener, total = zstandard.ZstdDecompressor(), np.zeros(1 << slice_bits, np.uint8)
-        for packed in group["counters"]:
-            total += np.frombuffer(opener.decompress(packed), np.uint8)
-            np.minimum(total, 2, out=total)
-        quad = total.reshape(-1, 4)
-        packed = quad[:, 0] | quad[:, 1] << 2 | quad[:, 2] << 4 | quad[:, 3] << 6
-        return pd.DataFrame({"slice": [int(group["slice"].iloc[0])], "counters": [packed.tobytes()]})
+        opener, at, total = zstandard.ZstdDecompressor(), None, None
+        for batch in batches:
+            for number, packed in zip(batch.column("slice").to_pylist(), batch.column("counters").to_pylist()):
+                if number != at:
+                    if at is not None:
+                        yield _quads(at, total)
+                    at, total = number, np.zeros(1 << slice_bits, np.uint8)
+                total += np.frombuffer(opener.decompress(packed), np.uint8)
+                np.minimum(total, 2, out=total)
+        if at is not None:
+            yield _quads(at, total)
 
     parts = docs.select("text").mapInArrow(add, "slice int, counters binary")
-    merged = parts.groupBy("slice").applyInPandas(merge, "slice int, counters binary")
+    merged = parts.repartition("slice").sortWithinPartitions("slice").mapInArrow(merge, "slice int, counters binary")
     out = bytearray(SKETCH_ROWS * width // 4)
     size = (1 << slice_bits) // 4
     # One row per slice: a fixed number of rows of a fixed size, whatever the input.
@@ -96,6 +123,13 @@ def sketch_of(docs: DataFrame, grams_of: Callable[[pa.RecordBatch], np.ndarray],
     return bytes(out)
 
 
+def _quads(number: int, counters: np.ndarray) -> pa.RecordBatch:
+    """One merged slice, four counters to a byte."""
+    quad = counters.reshape(-1, 4)
+    packed = quad[:, 0] | quad[:, 1] << 2 | quad[:, 2] << 4 | quad[:, 3] << 6
+    return common.columns_to_batch("slice,counters", pa.array([number], pa.int32()), pa.array([packed.tobytes()], pa.binary()))
+
+
 def estimated_repeated(gram: np.ndarray, merged: np.ndarray, bits: int) -> np.ndarray:
     """Which anchors the sketch counts at least twice in every row."""
     found = np.ones(len(gram), bool)
