@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,22 @@ def fold(key: Column, folds: int) -> Column:
 
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cuts record batches into pieces of about ``STEP_BYTES`` of text, at row borders."""
+#: What operators keep in a worker between tasks, with the call that lets go of it.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keep(owner: str, let_go: Callable[[], None]) -> None:
+    _KEPT[owner] = let_go
+
+
+def steps(batches: Iterator[pa.RecordBatch], column: str = "text", owner: str = "") -> Iterator[pa.RecordBatch]:
+    """Cuts record batches into pieces of about ``STEP_BYTES`` of text, at row borders.
+
+    Workers outlive tasks: what another operator has kept in this one is let go first.
+    """
+    for name, let_go in _KEPT.items():
+        if name != owner:
+            let_go()
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -15,6 +15,7 @@ are ignored.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,19 +34,34 @@ WINDOW = 4096
 END_ID = 1
 #: Largest share of work of one packing task.
 SHARD_TOKENS, SHARD_PIECES = 4 << 20, 100_000
-#: Entries of a worker's memo of encoded words.
-MEMO_ENTRIES = 1_500_000
+#: Entries of each of the two halves of a worker's memo of encoded words.
+MEMO_ENTRIES = 350_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, turn long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 #: Stands between words that are encoded in one call.
 _MARK = "|"
+#: What often ends a word and is a token of its own behind letters.
+_ENDS = (b",", b".")
+
+
+def _lowered(text: bytes) -> bytes:
+    """ASCII capitals as small letters, which halves the spellings; not where combining marks (U+0300 to U+036F) could
+    make another composed letter of them."""
+    return text if b"\xcc" in text or b"\xcd" in text else text.lower()
+
+
+def _letters_only(part: bytes) -> bool:
+    """Letters after normalisation too: a capital may become a letter and a mark that is none."""
+    return part.isalpha() or unicodedata.normalize("NFC", part.decode("utf-8", "replace")).lower().isalpha()
 
 
 class WordEncoder:
     """Token ids of a text from the ids of its parts between ASCII spaces.
 
     White space never lies inside a token of this vocabulary, so the parts are
-    encoded on their own, each spelling once as long as the memo has room.
+    encoded on their own, each spelling once as long as the memo holds it. The memo has a young and an
+    old half: when the young one is full it becomes the old one, and what the old one held and nobody
+    asked for since is forgotten.
     """
 
     def __init__(self, path: str):
@@ -54,6 +70,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.mark = self._plain(_MARK)[0]
 
     def _plain(self, text: str) -> list[int]:
@@ -61,40 +78,56 @@ class WordEncoder:
 
     def _learn(self, parts: list[bytes]) -> None:
         """Encodes unseen parts, many in one call with a mark between them."""
-        together, marked = [], _MARK.encode()
+        memo, marked, together, ended = self.memo, _MARK.encode(), [], []
+        asked = set(parts)
         for part in parts:
-            if len(part) > 64 or marked in part:
-                self.memo[part] = np.array(self._plain(part.decode("utf-8", "replace")), "<u4").tobytes()
+            stem, last = part[:-1], part[-1:]
+            if last in _ENDS and _letters_only(stem):
+                # Letters and a mark behind them are tokens of their own.
+                ended.append((part, stem, last))
+                for piece in (stem, last):
+                    if piece not in memo and piece not in asked:
+                        asked.add(piece)
+                        together.append(piece)
+            elif len(part) > 64 or marked in part:
+                memo[part] = np.array(self._plain(part.decode("utf-8", "replace")), "<u4").tobytes()
             else:
                 together.append(part)
         for i in range(0, len(together), 2000):
             some = together[i : i + 2000]
             ids = np.array(self._plain((b" " + marked + b" ").join(some).decode("utf-8", "replace")), "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            runs = np.split(ids, cuts)
+            runs = np.split(ids, np.flatnonzero(ids == self.mark))
             if len(runs) != len(some):  # cannot happen while the mark is one token of its own
-                runs = [np.array([0, *self._plain(x.decode("utf-8", "replace"))]) for x in some]
-                runs[0] = runs[0][1:]
+                runs = [np.array([0] * bool(k) + self._plain(x.decode("utf-8", "replace"))) for k, x in enumerate(some)]
             for k, (part, run) in enumerate(zip(some, runs)):
-                self.memo[part] = run[bool(k) :].astype("<u4").tobytes()
+                memo[part] = run[bool(k) :].astype("<u4").tobytes()
+        for part, stem, last in ended:
+            memo[part] = memo[stem] + memo[last]
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        split = [x.lower().split() for x in texts]
-        wanted = {p for parts in split for p in parts}
-        unseen = [p for p in wanted if p not in self.memo]
-        if len(self.memo) + len(unseen) > MEMO_ENTRIES:
-            self.memo.clear()
-            unseen = list(wanted)
+        split = [_lowered(x).split() for x in texts]
+        if len(self.memo) > MEMO_ENTRIES:
+            self.memo, self.old = {}, self.memo
+        memo, old = self.memo, self.old
+        unseen = [p for p in {p for parts in split for p in parts} if p not in memo]
+        if old:
+            memo.update((p, old[p]) for p in unseen if p in old)
+            unseen = [p for p in unseen if p not in old]
         if unseen:
             self._learn(unseen)
-        ids = self.memo
-        return [b"".join([ids[p] for p in parts]) for parts in split]
+        return [b"".join([memo[p] for p in parts]) for parts in split]
+
+    def forget(self) -> None:
+        self.memo, self.old = {}, {}
 
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    """One encoder per worker, so that its memo serves all tasks; other operators' tasks clear it."""
+    found = WordEncoder(path)
+    common.keep("packing", found.forget)
+    return found
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDOW) -> DataFrame:
@@ -103,7 +136,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str | None = None, window: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, turn, end = _encoder(path), 0, np.array([END_ID], "<u4").tobytes()
-        for batch in common.steps(batches):
+        for batch in common.steps(batches, owner="packing"):
             keys = batch.column("doc_id").to_pylist()
             rows = []
             for key, ids in zip(keys, encoder.encode_all(common.raw_texts(batch))):

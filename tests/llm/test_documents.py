@@ -204,10 +204,11 @@ def test_best_fit_keeps_every_capacity(rule):
 def test_memo_limit_does_not_change_ids(monkeypatch):
     import public_tokenizers
 
-    texts = [cases.passage(s, 80).encode() + b" | a|b isn't \xe2\x80\x9cx\xe2\x80\x9d \xc2\xa0y" for s in range(12)]
+    texts = [cases.passage(s, 80).encode() + " | a|b isn't “x” \u00a0y a,b., c., d.. 's. |. a|. ²., Ⅷ, ʰ. İ. ΑΣ. ß, K. é. e\u0301. \u0301. J\u030C T\u0308 <|endoftext|>.".encode()
+             for s in range(12)]
     whole = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json")).encode_all(texts)
     monkeypatch.setattr(packing, "MEMO_ENTRIES", 20)
-    small = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    small = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))  # its halves turn over with every text
     assert [small.encode_all([t])[0] for t in texts] == whole
     plain = small.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
     assert [np.frombuffer(x, "<u4").tolist() for x in whole] == [e.ids for e in plain]
@@ -259,6 +260,8 @@ def test_forward_sums_all_segmentations():
     for piece, part in langid.expected_pieces("ab", {k: v[0] for k, v in model.table.items()}):
         counts[piece] += part
     assert counts["ab"] == pytest.approx(0.1 * 0.1 / want[0])
+    words = ["ab", "ba", "aXb", "abab", "", "b" * 39, "a" * 41]
+    assert langid.Scorer(model).log_words(words) == pytest.approx(np.array([model.log_word(w) for w in words]))
     long = model.log_word("ab" * 20_000)
     assert all(math.isfinite(x) and x < -1000 for x in long)
 
