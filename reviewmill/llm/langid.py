@@ -37,7 +37,7 @@ from reviewmill.session import materialise
 
 FOLDS, HELD = 4, 2
 #: Training documents, rounds of expectation-maximisation, longest piece.
-SAMPLE, ROUNDS, LONGEST = 6000, 4, 16
+SAMPLE, ROUNDS, LONGEST = 2500, 3, 16
 #: Pseudo-count of each piece in each language, and the probability of a letter outside the vocabulary.
 PSEUDO, UNKNOWN = 0.02, 1e-7
 #: Words whose probabilities a worker remembers.
@@ -98,6 +98,47 @@ class Model:
         return tuple(math.log(max(x, 1e-300)) + s for x, s in zip(ways[n], shift))
 
 
+class Scorer:
+    """log P of many words at once: words of one length share the steps of the forward algorithm."""
+
+    #: Longer words could underflow; they are worked off one by one, with scaling.
+    TOGETHER = 40
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.place = {piece: i for i, piece in enumerate(model.table)}
+        known = np.array(list(model.table.values()), float).reshape(len(self.place), len(model.languages))
+        # Behind the pieces: the row of a letter outside the vocabulary, and the row of what is no piece.
+        self.table = np.vstack([known, np.full((1, known.shape[1]), UNKNOWN), np.zeros((1, known.shape[1]))])
+        self.letter, self.nothing = len(known), len(known) + 1
+
+    def log_words(self, words: list[str]) -> np.ndarray:
+        out = np.empty((len(words), len(self.model.languages)))
+        groups: dict[int, list[int]] = defaultdict(list)
+        for i, word in enumerate(words):
+            groups[len(word)].append(i)
+        for size, at in groups.items():
+            if size > self.TOGETHER:
+                for i in at:
+                    out[i] = self.model.log_word(words[i])
+            else:
+                out[at] = self._forward([START + words[i] for i in at], size + 1)
+        return out
+
+    def _forward(self, words: list[str], size: int) -> np.ndarray:
+        find = self.place.get
+        ways = np.zeros((size + 1, len(words), len(self.model.languages)))
+        ways[0] = 1.0
+        for end in range(1, size + 1):
+            for start in range(max(0, end - LONGEST), end):
+                missing = self.letter if start == end - 1 else self.nothing
+                rows = np.array([find(w[start:end], missing) for w in words])
+                hit = np.flatnonzero(rows != self.nothing)
+                if len(hit):
+                    ways[end, hit] += ways[start, hit] * self.table[rows[hit]]
+        return np.log(np.maximum(ways[size], 1e-300))
+
+
 def expected_pieces(word: str, table: dict[str, float]) -> list[tuple[str, float]]:
     """The expected count of each vocabulary piece in a word of one language (forward and backward)."""
     word = START + word
@@ -184,30 +225,27 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted, memo = shared.value, {}
-        langs = fitted.languages
+        fitted = shared.value
+        langs, scorer = fitted.languages, Scorer(fitted)
+        place: dict[str, int] = {}
+        logs = np.zeros((0, len(langs)))
         for batch in common.steps(batches):
+            counted = [Counter(words_of(x)) if x else Counter() for x in batch.column("text").to_pylist()]
+            if len(place) > MEMO_ENTRIES:
+                place, logs = {}, logs[:0]
+            unseen = list({w for counts in counted for w in counts if w not in place}) if langs else []
+            place.update((w, len(logs) + i) for i, w in enumerate(unseen))
+            logs = np.concatenate([logs, scorer.log_words(unseen)]) if unseen else logs
             names, scores = [], []
-            for text in batch.column("text").to_pylist():
-                counts = Counter(words_of(text)) if text else None
+            for counts in counted:
                 if not counts or not langs:
                     names.append("und")
                     scores.append(0.0)
                     continue
-                total = [0.0] * len(langs)
-                for word, n in counts.items():
-                    logs = memo.get(word)
-                    if logs is None:
-                        logs = fitted.log_word(word)
-                        if len(memo) >= MEMO_ENTRIES:
-                            memo.clear()
-                        memo[word] = logs
-                    for i, x in enumerate(logs):
-                        total[i] += n * x
-                top = max(total)
-                best = total.index(top)
+                total = np.array(list(counts.values())) @ logs[[place[w] for w in counts]]
+                best = int(np.argmax(total))
                 names.append(langs[best])
-                scores.append(1 / sum(math.exp(x - top) for x in total))
+                scores.append(float(1 / np.exp(total - total[best]).sum()))
             yield common.columns_to_batch(
                 "doc_id,lang_pred,score", batch.column("doc_id"), pa.array(names, pa.string()),
                 pa.array(scores, pa.float64()),
