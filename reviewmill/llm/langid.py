@@ -10,7 +10,8 @@ expected counts of the pieces.
 Words are runs of letters in lower case, a word start is part of its first piece. A letter
 outside the vocabulary is a piece of its own with one small probability for all languages.
 
-Training texts are a bounded sample (``SAMPLE`` documents, chosen by a hash of the id).
+Training texts are a bounded sample chosen by a hash of the id: the first ``SAMPLE`` documents, and of
+each language the first ``SHARE`` or so besides (all, if it has fewer), so a rare language is learned too.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; so is
 every text if nothing could be learned; equal scores go to the language that comes first in the
@@ -36,8 +37,8 @@ from reviewmill.llm import common
 from reviewmill.session import materialise
 
 FOLDS, HELD = 4, 2
-#: Training documents, rounds of expectation-maximisation, longest piece.
-SAMPLE, ROUNDS, LONGEST = 2500, 3, 16
+#: Training documents, those of each language at least, rounds of expectation-maximisation, longest piece.
+SAMPLE, SHARE, ROUNDS, LONGEST = 6000, 1500, 4, 16
 #: Pseudo-count of each piece in each language, and the probability of a letter outside the vocabulary.
 PSEUDO, UNKNOWN = 0.02, 1e-7
 #: Words whose probabilities a worker remembers.
@@ -169,7 +170,13 @@ def training_words(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
         F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull()
         & (common.fold(F.col("doc_id"), FOLDS) != HELD)
     ).select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
-    wanted = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    first = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    # The place of an id among all hashes, from 0 to 1: no language has to be sorted in one task.
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
+    ids = usable.select("doc_id", "lang").distinct()
+    sizes = F.broadcast(ids.groupBy("lang").agg(F.count("*").alias("n")))  # a row per language
+    of_each = ids.join(sizes, "lang").filter(place * F.col("n") < SHARE).select("doc_id")
+    wanted = first.unionByName(of_each).distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, Counter] = defaultdict(Counter)
@@ -183,7 +190,7 @@ def training_words(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
                 pa.array(n, pa.int64()),
             )
 
-    # At most ``sample`` ids: small enough for every executor.
+    # At most ``sample`` ids and ``SHARE`` per language: small enough for every executor.
     rows = usable.join(F.broadcast(wanted), "doc_id").select("lang", "text")
     counted = rows.mapInArrow(count, "lang string, word string, n long")
     return materialise(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
