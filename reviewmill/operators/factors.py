@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from reviewmill.operators import neighbours
 from reviewmill.operators.joins import attach_totals
 from reviewmill.operators.ordered import running_totals
-from reviewmill.operators.recommend import LIKED, index_ids, interactions, top_products
+from reviewmill.operators.recommend import LIKED, index_ids, interactions
 from reviewmill.session import materialise
 
 UNKNOWN_RATING = 3.0
@@ -319,11 +319,10 @@ def ncf_recommend(model: Neural, candidates: DataFrame, users: DataFrame, k: int
     return own.unionByName(fallback)
 
 
-def ncf_candidates(df: DataFrame, users: DataFrame, per_category: int) -> DataFrame:
-    """(reviewerID, asin): for each user the most reviewed products of the categories they have reviewed."""
-    visited = df.select("reviewerID", "category").distinct().join(users.select("reviewerID").distinct(), "reviewerID")
-    listed = top_products(df, per_category).select("category", "asin")
-    return visited.join(listed, "category").select("reviewerID", "asin").distinct()
+def ncf_candidates(df: DataFrame, users: DataFrame) -> DataFrame:
+    """(reviewerID, asin): every product of ``df`` for each of ``users`` that has reviewed anything."""
+    known = users.select("reviewerID").distinct().join(df.select("reviewerID"), "reviewerID", "left_semi")
+    return known.crossJoin(df.select("asin").filter("asin is not null").distinct())
 
 
 # --- saving ---------------------------------------------------------------------------------

@@ -408,7 +408,7 @@ def ncf_topk(spark, sf_dir):
     users = tv.table(spark, sf_dir, "customer").select(
         F.concat(F.lit("A"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("reviewerID")
     )
-    return factors.ncf_recommend(model, factors.ncf_candidates(df, users, 50), users, 10)
+    return factors.ncf_recommend(model, factors.ncf_candidates(df, users), users, 10)
 
 
 # --- layout and join shapes -----------------------------------------------------------------
