@@ -134,13 +134,16 @@ EXACT_SIDE, EXACT_CELLS = 8, 1_000_000
 def mann_whitney_pvalue(u: pd.Series, n: pd.Series, m: pd.Series, ties: pd.Series) -> pd.Series:
     """Two-sided. Exact when there are no ties, one side has at most ``EXACT_SIDE`` values and the exact
     law needs at most ``EXACT_CELLS`` numbers (its table holds a number per value of U, and would not fit a task
-    for sides of very different size); else the tie- and continuity-corrected normal law, which is
-    within about a hundredth of it there."""
+    for sides of very different size) or one side has one value (closed form, any size); else the tie- and
+    continuity-corrected normal law. Beyond ``EXACT_CELLS`` sides of two to ``EXACT_SIDE`` values get the normal law too;
+    in the far tail it can be off by far more than a hundredth there."""
 
     def one(u1: float, a: float, b: float, tie: float) -> float | None:
         if pd.isna(u1) or a == 0 or b == 0:
             return None
         top = max(u1, a * b - u1)
+        if min(a, b) == 1 and tie == 0:
+            return min(1.0, 2.0 * (max(a, b) - math.ceil(top) + 1.0) / (a + b))
         if min(a, b) <= EXACT_SIDE and tie == 0 and a * b <= EXACT_CELLS:
             return min(1.0, 2.0 * mann_whitney_exact(top, int(a), int(b)))
         total = a + b
