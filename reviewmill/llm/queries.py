@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import chat, langid, maxscore, packing, quality, simhash, suffixes, toxicity, windows, winnowing
+from reviewmill.llm import (
+    chat, langid, maxscore, packing, periods, quality, simhash, strata, suffixes, tiles, toxicity, windows, winnowing,
+)
 from reviewmill.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +77,40 @@ def op10_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth text, by the hash of its id, is made periodic from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)"))
+    cut = docs.select("doc_id", "text", words.alias("words"), (h / 10).cast("long").alias("g"))
+    cut = cut.withColumn("n", F.size("words").cast("long"))
+    cut = cut.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    cut = cut.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    loop = F.expr("transform(words, (w, i) -> if(i < a, w, words[cast(a + (i - a) % p as int)]))")
+    return cut.select("doc_id", F.when(F.col("n") > 0, F.array_join(loop, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_difference_cover_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.find_runs(looped(table(spark, sf_dir, "documents")))
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))")
+    lines = F.expr(r"array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    found = found.withColumn("longest", longest)
+    length, period = F.col("longest.length"), -F.col("longest.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"),
+        length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_length_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strata.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_banded_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_weak_toxicity": op1_weak_toxicity,
@@ -87,6 +123,9 @@ def queries() -> dict[str, Query]:
         "op8_maxscore": op8_maxscore,
         "op9_vector_best_fit": op9_vector_best_fit,
         "op10_simhash_popcount": op10_simhash_popcount,
+        "op11_difference_cover_runs": op11_difference_cover_runs,
+        "op12_length_strata": op12_length_strata,
+        "op13_banded_tiles": op13_banded_tiles,
     }
 
 
@@ -121,6 +160,63 @@ with vectors as (
   select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
 )
 select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 20
+""",
+    "op12_length_strata": r"""
+with words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), docs as (
+  select doc_id, w, len(w) as n from words where len(w) > 0
+), total as (
+  select count(*) as big_n, cast(sum(n) as bigint) as big_l from docs
+), asked as (
+  select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as term from benchmark
+), counts as (
+  select doc_id, n, term, count(*) as tf from (select doc_id, n, unnest(w) as term from docs)
+  where term in (select term from asked) group by doc_id, n, term
+), weights as (
+  select term, cast(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) as bigint) as w
+  from (select term, count(*) as df from counts group by term), total
+), parts as (
+  select doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l))) as part
+  from counts join weights using (term), total
+), scores as (
+  select item_id, doc_id, cast(sum(part) as bigint) as score from parts join asked using (term)
+  group by item_id, doc_id having sum(part) > 0
+), ranked as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores
+)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 10
+""",
+    "op13_banded_tiles": r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), shingles as (
+  select distinct doc_id, array_to_string(w[pos:pos + 4], ' ') as body
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as pos from words where len(w) > 0)
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+  select body from shingles group by body having count(*) > 1
+), repeated as (
+  select doc_id, body from shingles semi join shared using (body)
+), pairs as (
+  select a.doc_id as a, b.doc_id as b, count(*) as both_
+  from repeated a join repeated b on a.body = b.body and a.doc_id < b.doc_id group by a.doc_id, b.doc_id
+), links as (
+  select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * both_ >= 80 * (x.n + y.n - both_)
+), ways as (
+  select a, b from links union all select b, a from links
+), reach as (
+  select a, b from ways union select r.a, w.b from reach r join ways w on r.b = w.a
+), least as (
+  select a, min(b) as b from reach group by a
+)
+select w.doc_id, coalesce(s.n, 0) as n_shingles, least(w.doc_id, coalesce(l.b, w.doc_id)) as component_id
+from words w left join sizes s on w.doc_id = s.doc_id left join least l on w.doc_id = l.a
 """,
     "op5_count_min_windows": r"""
 with words as (

@@ -156,5 +156,5 @@ def test_pipeline_stages_follow_from_each_other(spark):
 
 def test_every_operator_is_registered():
     names = queries.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(queries.oracles()) <= set(names)
