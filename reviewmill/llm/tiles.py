@@ -1,20 +1,21 @@
 """Components of texts whose sets of word n-grams have a high Jaccard similarity, by size-banded tiles.
 
 Two texts link if ``100 * |A & B| >= PERCENT * |A | B|`` for their sets of ``SHINGLE``-word shingles
-(64-bit hashes). Nothing below misses a link; equal sets are one point.
-
-* **Prefixes.** All shingles have one order: those that a merged count-min sketch counts once come first, then
-  by hash. Linked sets share one of the first ``n - ceil(n * PERCENT / 100) + 1`` shingles of either. A shingle counted
-  once is in no other text, so it needs no cell: a text of which a fifth is its own meets nobody.
-* **Bands.** Linked sizes differ by a factor of at most 100 / PERCENT. A band spans that factor; a
-  point goes to the tile of its own band and the next one, so any two linked points meet in a tile of
-  (shingle, band).
+(64-bit hashes). Nothing below misses a link. Equal sets are one point, named by a 64-bit hash (two of
+n different sets share a name with a chance of n^2 / 2^65).
+
+* **Bands and tiles.** A band holds the sizes up to a power of two. All shingles are dealt to a number of parts
+  that the band fixes; linked sets of the band differ in at most ``(|A| + |B|) * (100 - PERCENT) / (100 + PERCENT)`` shingles,
+  so if a set has more parts than that, one part is the same in both. A tile is what shares (band, part,
+  content of the part). Parts of one shingle are left out if the others suffice, so a tile is seldom
+  shared for one common passage. Sets near the upper border of a band go to the next one as well. The
+  tiles are about 0.4 per shingle; those with a single point go in the first shuffle.
 * **Signatures.** In a tile a point is a bitmap, about ``BITS`` bits per shingle: each shingle sets the bit its hash
   names. A bit that only A has stands for a shingle that only A has, so ``|A| - popcount(a & ~b)`` is never
   below the overlap. Pairs whose bound is too low go; the others are settled by intersecting the sorted arrays.
 
 A group of n near copies would give n * n pairs, so links are found in two steps. *Contraction*, ``ROUNDS`` times:
-every point goes with its set to the tile of one of its shingles (another order each round) if points of
+every point goes with its set to one of its tiles (another one each round) if points of
 different components meet there; inside a tile only pairs of different components are compared, and a link joins them at
 once. A crowded tile is split; some of its points go to all parts and tie them together. *Completion*: all
 tiles in which components still meet; pairs of different components that pass the bound are
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm import common, spans, windows
+from reviewmill.llm import common, spans
 from reviewmill.llm.components import connected
 from reviewmill.llm.keyed import KEY, with_key
 from reviewmill.session import materialise
@@ -47,7 +48,11 @@ BITS, LEAST_BITS, MOST_BITS = 4, 64, 1 << 16
 ROUNDS, TILE, HUBS = 3, 512, 48
 #: Bytes of sets that a tile holds at most, on average.
 TILE_BYTES = 4 << 20
-SKETCH_BITS = windows.SKETCH_BITS
+#: Bits of the bitmap over the rows whose sets are wanted, as a power of two.
+FILTER_BITS = 26
+#: Tasks that the rows of one point or component may be dealt to.
+SLICES = 32
+_SALT = np.uint64(0x632BE59BD9B4E019)
 
 
 def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -88,9 +93,45 @@ def wide(n: np.ndarray) -> np.ndarray:
     return 1 << np.ceil(np.log2(bits)).astype(np.int64)
 
 
-def band(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Number of the size band; the sizes of a band span a factor of 100 / percent."""
-    return np.floor(np.log(np.maximum(n, 1)) / np.log(100 / percent) + 1e-9).astype(np.int64)
+def band(n: np.ndarray) -> np.ndarray:
+    """Number of the size band: sets of more than 2^(b - 1) and up to 2^b shingles."""
+    return np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64)
+
+
+def _differ(both: np.ndarray, percent: int) -> np.ndarray:
+    """How many shingles linked sets of ``both`` shingles together may differ in."""
+    return both * (100 - percent) // (100 + percent)
+
+
+def tiles_of(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """(position of the set, tile) of all tiles of non-empty sets."""
+    size = np.array([len(x) for x in sets], np.int64)
+    own = band(size)
+    upper = np.flatnonzero(size * 100 // percent > 1 << own)
+    which, bands = np.r_[np.arange(len(sets)), upper], np.r_[own, own[upper] + 1]
+    limit = np.int64(1) << bands
+    parts = np.maximum(-(-limit * 9 * (100 - percent) // (4 * (100 + percent))), 1)
+    size = size[which]
+    # The partner is in the band, and no larger than a link allows.
+    apart = _differ(size + np.minimum(limit, size * 100 // percent), percent)
+    every = np.concatenate([sets[k] for k in which.tolist()])
+    owner = np.repeat(np.arange(len(which)), size)
+    # Sets are sorted, so the shingles of a part stand together.
+    part = ((every >> np.uint64(32)) * parts[owner].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.r_[True, (np.diff(part) != 0) | (np.diff(owner) != 0)])
+    count, owner, part = np.diff(np.r_[first, len(every)]), owner[first], part[first]
+    content = np.add.reduceat(spans.mix(every ^ _SALT), first)
+    large = np.bincount(owner, count > 1, len(which)) > apart
+    some = np.bincount(owner, minlength=len(which)) > apart
+    keep = (count > 1) | ~large[owner]
+    owner, part, content = owner[keep], part[keep], content[keep]
+    # Sets with too few parts that hold anything: the empty ones may be what is the same.
+    for k in np.flatnonzero(~some).tolist():
+        gone = np.setdiff1d(np.arange(parts[k]), part[owner == k])
+        owner, part = np.r_[owner, np.full(len(gone), k)], np.r_[part, gone]
+        content = np.r_[content, np.zeros(len(gone), np.uint64)]
+    tile = spans.mix(content + spans.mix(part.astype(np.uint64) * _SALT + bands[owner].astype(np.uint64)))
+    return which[owner], tile
 
 
 def signature(values: np.ndarray, bits: int) -> np.ndarray:
@@ -139,39 +180,97 @@ def _stacked(sets_or_maps: list[np.ndarray], size: np.ndarray, made: bool = Fals
     return np.stack([signature(x, bits) for x in sets_or_maps])
 
 
-def prints(keyed: DataFrame, sketch: bytes, bits: int, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(node, n, digest, cells, grams) of each row; cells are its prefix shingles that others may share.
+def name_of(x: np.ndarray) -> int:
+    """A set's 64-bit name, as a signed number."""
+    return int.from_bytes(xxhash.xxh64_digest(x.tobytes(), 42), "little", signed=True)
 
-    A row without cells has no link but to equal sets, its grams are left out.
-    """
-    holder = keyed.sparkSession.sparkContext.broadcast(sketch)  # of fixed size
+
+def prints(keyed: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(node, n, point) of each row: its key, the size of its set and its name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merged = np.frombuffer(holder.value, np.uint8)
         for batch in common.steps(batches):
             sets = shingle_sets(common.raw_texts(batch), shingle)
-            every = np.concatenate(sets)
-            often = windows.estimated_repeated(every, merged, bits)
-            at, cells, grams = 0, [], []
-            for x in sets:
-                shared = often[at : at + len(x)]
-                at += len(x)
-                prefix = len(x) - -(-len(x) * percent // 100) + 1
-                # Shingles counted once stand in front and fill the prefix; the rest is by hash.
-                room = max(prefix - int((~shared).sum()), 0) if len(x) else 0
-                mixed = spans.mix(x[shared] ^ np.uint64(0x9E3779B97F4A7C15))
-                some = x[shared][np.argsort(mixed, kind="stable")[:room]]
-                cells.append(some.view(np.int64))
-                grams.append(x.tobytes() if len(some) else None)
             yield common.columns_to_batch(
-                "node,n,digest,cells,grams", batch.column("node"), np.array([len(x) for x in sets], np.int32),
-                pa.array([xxhash.xxh128_digest(x.tobytes()) for x in sets], pa.binary()),
-                pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, cells)]), pa.int32()), np.concatenate(cells)),
-                pa.array(grams, pa.binary()),
+                "node,n,point", batch.column("node"), np.array([len(x) for x in sets], np.int32),
+                np.array([name_of(x) for x in sets], np.int64),
             )
 
-    texts = keyed.select(F.col(KEY).alias("node"), "text")
-    return texts.mapInArrow(run, "node long, n int, digest binary, cells array<long>, grams binary")
+    return keyed.select(F.col(KEY).alias("node"), "text").mapInArrow(run, "node long, n int, point long")
+
+
+def shared_tiles(keyed: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(cell, point): the tiles that hold more than one point."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # a task sends the tiles of equal sets once
+        for batch in common.steps(batches):
+            sets, names = [], []
+            for x in shingle_sets(common.raw_texts(batch), shingle):
+                if len(x) and (name := name_of(x)) not in seen:
+                    seen.add(name)
+                    sets.append(x)
+                    names.append(name)
+            if sets:
+                which, tile = tiles_of(sets, percent)
+                yield common.columns_to_batch("cell,point", tile.view(np.int64), np.array(names, np.int64)[which])
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell = point = np.empty(0, np.int64)
+        for batch in _or_end(batches):
+            if batch is not None:
+                cell = np.r_[cell, np.asarray(batch.column("cell"))]
+                point = np.r_[point, np.asarray(batch.column("point"))]
+                # The last tile may go on in the next batch.
+                cut = int(np.searchsorted(cell, cell[-1])) if len(cell) else 0
+            else:
+                cut = len(cell)
+            a, b = cell[:cut], point[:cut]
+            cell, point = cell[cut:], point[cut:]
+            if len(a):
+                fresh = np.flatnonzero(np.r_[True, (np.diff(a) != 0) | (np.diff(b) != 0)])
+                a, b = a[fresh], b[fresh]
+                same = np.r_[False, np.diff(a) == 0]
+                keep = same | np.r_[same[1:], False]
+                yield common.columns_to_batch("cell,point", a[keep], b[keep])
+
+    rows = keyed.select("text").mapInArrow(run, "cell long, point long")
+    return rows.repartition("cell").sortWithinPartitions("cell", "point").mapInArrow(several, "cell long, point long")
+
+
+def _or_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
+def sets_of(keyed: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(node, grams): the sets of the rows of ``wanted`` (node), as sorted 64-bit numbers.
+
+    A bitmap of fixed size spares the join the rows that nobody asked for.
+    """
+    spot = F.pmod(F.xxhash64("node"), F.lit(1 << FILTER_BITS))
+    places = wanted.select(spot.alias("p")).groupBy(F.shiftright("p", 5).alias("slot")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p & 31 as int))")).alias("bits")
+    )
+    out = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    # At most one row per word of the bitmap, whatever the number of rows.
+    for row in places.toLocalIterator():
+        out[row["slot"]] = row["bits"]
+    holder = keyed.sparkSession.sparkContext.broadcast(out.tobytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(holder.value, np.uint32)
+        for batch in common.steps(batches):
+            place = np.asarray(batch.column("place"))
+            batch = batch.take(pa.array(np.flatnonzero(bits[place >> 5] >> (place & 31).astype(np.uint32) & 1)))
+            if batch.num_rows:
+                sets = shingle_sets(common.raw_texts(batch), shingle)
+                yield common.columns_to_batch(
+                    "node,grams", batch.column("node"), pa.array([x.tobytes() for x in sets], pa.binary())
+                )
+
+    texts = keyed.select(F.col(KEY).alias("node"), "text").withColumn("place", spot)
+    return texts.mapInArrow(run, "node long, grams binary").join(wanted.select("node"), "node", "left_semi")
 
 
 class Trees:
@@ -232,10 +331,15 @@ def _in_tiles(units: DataFrame, percent: int) -> DataFrame:
     return units.repartition("unit").sortWithinPartitions("unit", "node").mapInArrow(run, "a long, b long")
 
 
-def contract(points: DataFrame, labels: DataFrame, turn: int, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
-    """(a, b): links between components that meet in the tile of one shingle of each point."""
-    chosen = F.array_min(F.transform("cells", lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), c.alias("c"))))
-    placed = points.select("node", chosen["c"].alias("cell"), F.octet_length("grams").alias("bytes")).join(labels, "node")
+def contract(live: DataFrame, sets: DataFrame, labels: DataFrame, turn: int, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
+    """(a, b): links between components that meet in one tile of each point.
+
+    ``live`` (cell, node), ``sets`` (node, grams), ``labels`` (node, label).
+    """
+    chosen = live.groupBy("node").agg(F.min(F.struct(F.xxhash64("cell", F.lit(turn)), "cell")).alias("c"))
+    placed = chosen.select("node", "c.cell").join(labels, "node").join(
+        sets.select("node", F.octet_length("grams").alias("bytes")), "node"
+    )
     crowds = placed.groupBy("cell").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("held"),
         F.greatest(F.ceil(F.count("*") / tile), F.ceil(F.sum("bytes") / TILE_BYTES)).cast("int").alias("tiles"),
@@ -247,53 +351,45 @@ def contract(points: DataFrame, labels: DataFrame, turn: int, percent: int = PER
         F.sequence(F.lit(0), F.col("tiles") - 1),
     ).otherwise(F.array(F.pmod(F.xxhash64("node", F.lit(turn + 2000)), F.col("tiles").cast("long")).cast("int")))
     dealt = placed.join(crowds, "cell").select("node", "label", "cell", F.explode(parts).alias("part"))
-    units = dealt.join(points.select("node", "grams"), "node").select(
-        F.xxhash64("cell", "part").alias("unit"), "node", "label", "grams"
-    )
+    units = dealt.join(sets, "node").select(F.xxhash64("cell", "part").alias("unit"), "node", "label", "grams")
     return _in_tiles(units, percent)
 
 
-def _signatures(points: DataFrame, percent: int) -> DataFrame:
-    """(node, n, low, bits): size, own band and signature of each point, wide enough for the next band."""
+def _signatures(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, bits): size and signature of each point, wide enough for the largest partner."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.steps(batches, "grams"):
-            sets = [np.frombuffer(x, np.uint64) for x in batch.column("grams").to_pylist()]
-            size = np.array([len(x) for x in sets])
-            maps = [signature(x, int(w)).tobytes() for x, w in zip(sets, wide(size * 100 / percent + 1).tolist())]
-            yield common.columns_to_batch(
-                "node,n,low,bits", batch.column("node"), size.astype(np.int32), band(size, percent).astype(np.int32),
-                pa.array(maps, pa.binary()),
-            )
+            rows = [np.frombuffer(x, np.uint64) for x in batch.column("grams").to_pylist()]
+            size = np.array([len(x) for x in rows])
+            maps = [signature(x, int(w)).tobytes() for x, w in zip(rows, wide(size * 100 / percent + 1).tolist())]
+            yield common.columns_to_batch("node,n,bits", batch.column("node"), size.astype(np.int32), pa.array(maps, pa.binary()))
 
-    return points.select("node", "grams").mapInArrow(run, "node long, n int, low int, bits binary")
+    return sets.mapInArrow(run, "node long, n int, bits binary")
 
 
-def candidates(points: DataFrame, labels: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
+def candidates(live: DataFrame, sets: DataFrame, labels: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """(a, b), a < b: pairs of different components that share a tile and pass the bounds."""
-    signs = materialise(_signatures(points, percent))
-    sizes = signs.select("node", "low")
-    cells = points.select("node", F.explode("cells").alias("cell")).join(labels, "node").join(sizes, "node").select(
-        "node", "label", "cell", F.explode(F.array(F.col("low"), F.col("low") + 1)).alias("band")
-    )
+    cells = live.join(labels, "node")
     # Tiles where components meet, and how far they have to be split.
-    crowds = cells.groupBy("cell", "band").agg(
+    crowds = cells.groupBy("cell").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("held")
-    ).filter("lo <> hi").select("cell", "band", F.ceil(F.col("held") / tile).cast("int").alias("tiles"))
+    ).filter("lo <> hi").select("cell", F.ceil(F.col("held") / tile).cast("int").alias("tiles"))
     own = F.pmod(F.xxhash64("node"), F.col("tiles").cast("long")).cast("int")
-    dealt = cells.join(crowds, ["cell", "band"]).select("node", "label", "cell", "band", "tiles", own.alias("own")).select(
+    dealt = cells.join(crowds, "cell").select("node", "label", "cell", "tiles", own.alias("own")).select(
         "*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
     )
-    units = dealt.select(
-        F.xxhash64("cell", "band", F.least("own", "other"), F.greatest("own", "other")).alias("unit"),
+    units = materialise(dealt.select(
+        F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")).alias("unit"),
         (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "label",
-    ).join(signs.select("node", "n", "bits"), "node")
+    ))
+    signs = _signatures(sets.join(units.select("node").distinct(), "node", "left_semi"), percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, ["unit", "side", "node", "label", "n", "bits"]):
             yield _pairs(open_in_tile(*zip(*[r[1:] for r in rows]), percent))
 
-    dealt = units.repartition("unit").sortWithinPartitions("unit", "side", "node")
+    dealt = units.join(signs, "node").repartition("unit").sortWithinPartitions("unit", "side", "node")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -314,9 +410,8 @@ def open_in_tile(side, node, label, size, bits, percent: int = PERCENT) -> list[
     return out
 
 
-def verified(points: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def verified(sets: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs whose sorted sets share enough."""
-    sets = points.select("node", "grams")
     both = pairs.join(sets.withColumnsRenamed({"node": "a", "grams": "x"}), "a").join(
         sets.withColumnsRenamed({"node": "b", "grams": "y"}), "b"
     )
@@ -332,51 +427,55 @@ def verified(points: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> Dat
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def roots(points: DataFrame, percent: int = PERCENT, tile: int = TILE, rounds: int = ROUNDS) -> DataFrame:
+def roots(live: DataFrame, sets: DataFrame, percent: int = PERCENT, tile: int = TILE, rounds: int = ROUNDS) -> DataFrame:
     """(node, root) of the points that are linked with another one."""
     links, found = None, None
-    labels = points.select("node", F.col("node").alias("label"))
+    labels = sets.select("node", F.col("node").alias("label"))
     for turn in range(rounds):
-        fresh = materialise(contract(points, labels, turn, percent, tile))
+        fresh = materialise(contract(live, sets, labels, turn, percent, tile))
         links = fresh if links is None else links.unionByName(fresh)
         if not fresh.limit(1).count():
             continue
         found = materialise(connected(links))
-        labels = materialise(points.select("node").join(found, "node", "left").select(
+        labels = materialise(sets.select("node").join(found, "node", "left").select(
             "node", F.coalesce("root", "node").alias("label")
         ))
-    fresh = materialise(verified(points, materialise(candidates(points, labels, percent, tile)), percent))
+    fresh = materialise(verified(sets, materialise(candidates(live, sets, labels, percent, tile)), percent))
     if found is not None and not fresh.limit(1).count():
         return found
     return connected(fresh if links is None else links.unionByName(fresh))
 
 
+def classes(keyed: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, tile: int = TILE, rounds: int = ROUNDS) -> DataFrame:
+    """(node, n, root) of every row: root is the least key of its component."""
+    rows = materialise(prints(keyed, shingle)).withColumn("slice", F.pmod(F.xxhash64("node"), F.lit(SLICES)))
+    # Equal sets are one point; its first row stands for it.
+    points = materialise(rows.filter("n > 0").groupBy("point").agg(
+        F.min("node").alias("node"), F.count("*").alias("copies"), F.collect_set("slice").alias("slices")
+    ))
+    shared = materialise(shared_tiles(keyed, shingle, percent))
+    live = materialise(shared.join(points.select("point", "node"), "point").select("cell", "node"))
+    sets = materialise(sets_of(keyed, live.select("node").distinct(), shingle))
+    joined = roots(live, sets, percent, tile, rounds)
+    named = points.join(joined, "node", "left").filter("copies > 1 or root is not null").select(
+        "point", F.coalesce("root", "node").alias("root"), F.explode("slices").alias("slice")
+    )
+    # An empty set is the name of no point.
+    return rows.join(materialise(named), ["point", "slice"], "left").select(
+        "node", "n", F.coalesce("root", "node").alias("root")
+    )
+
+
 def components(
-    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, tile: int = TILE, rounds: int = ROUNDS,
-    bits: int = SKETCH_BITS,
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, tile: int = TILE, rounds: int = ROUNDS
 ) -> DataFrame:
     """(key, doc_id, n_shingles, component_id) of every row."""
     keyed = with_key(docs)
-
-    def grams_of(batch: pa.RecordBatch) -> np.ndarray:
-        return np.concatenate(shingle_sets(common.raw_texts(batch), shingle))
-
-    sketch = windows.sketch_of(keyed, grams_of, bits)
-    rows = materialise(prints(keyed, sketch, bits, shingle, percent))
-    # Equal sets are one point, the least of them.
-    least = rows.filter("n > 0").groupBy("digest").agg(F.min("node").alias("point"), F.count("*").alias("copies"))
-    points = materialise(
-        rows.filter("grams is not null").join(least.select(F.col("point").alias("node")), "node", "left_semi")
-        .select("node", "cells", "grams")
-    )
-    joined = roots(points, percent, tile, rounds)
-    groups = rows.select("node", "n", "digest").join(
-        least.filter("copies > 1").select("digest", "point"), "digest", "left"
-    ).select("node", "n", F.coalesce("point", "node").alias("point"))
-    named = materialise(groups.join(joined.withColumnRenamed("node", "point"), "point", "left").select(
-        "node", "n", F.coalesce("root", "point").alias("root")
-    ).join(keyed.select(F.col(KEY).alias("node"), F.col("doc_id").cast("long").alias("doc_id")), "node"))
-    ids = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return named.join(ids, "root").select(
+    found = materialise(classes(keyed, shingle, percent, tile, rounds))
+    named = materialise(found.join(
+        keyed.select(F.col(KEY).alias("node"), F.col("doc_id").cast("long").alias("doc_id")), "node"
+    )).withColumn("slice", F.pmod(F.xxhash64("node"), F.lit(SLICES)))
+    ids = named.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.collect_set("slice").alias("slices"))
+    return named.join(ids.select("root", "component_id", F.explode("slices").alias("slice")), ["root", "slice"]).select(
         F.col("node").alias("key"), "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id"
     )

@@ -234,9 +234,9 @@ def found(df):
     return sorted((tuple(r) for r in df.select("doc_id", "n_shingles", "component_id").collect()), key=repr)
 
 
-@pytest.mark.parametrize("tile, bits, rounds", [(512, 20, 3), (8, 20, 3), (8, 6, 0)])
-def test_components_of_planted_copies(spark, tile, bits, rounds):
-    """Pairs on both sides of the limit, a crowd, a chain; small tiles, a useless sketch and no contraction change nothing."""
+@pytest.mark.parametrize("tile, rounds", [(512, 3), (8, 3), (8, 0)])
+def test_components_of_planted_copies(spark, tile, rounds):
+    """Pairs on both sides of the limit, a crowd, a chain; small tiles and no contraction change nothing."""
     rows = [r[:2] for r in cases.odd_rows()]
     for k in range(25):
         base = cases.passage(1000 + k, 20 + 6 * k).split()
@@ -251,13 +251,13 @@ def test_components_of_planted_copies(spark, tile, bits, rounds):
     line = cases.passage(9, 104).split()
     rows += [(9000, " ".join(line)), (9001, " ".join(line[:84])), (9002, " ".join(line[21:]))]
     docs = cases.with_clashes(spark.createDataFrame(rows, SCHEMA).repartition(4))
-    assert found(tiles.components(docs, tile=tile, bits=bits, rounds=rounds)) == brute_components(rows)
+    assert found(tiles.components(docs, tile=tile, rounds=rounds)) == brute_components(rows)
 
 
 def test_components_of_nothing(spark):
-    assert tiles.components(spark.createDataFrame([], SCHEMA), bits=10).collect() == []
+    assert tiles.components(spark.createDataFrame([], SCHEMA)).collect() == []
     rows = [(1, None), (2, ""), (3, "  ")]
-    assert found(tiles.components(spark.createDataFrame(rows, SCHEMA), bits=10)) == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
+    assert found(tiles.components(spark.createDataFrame(rows, SCHEMA))) == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
 
 
 def test_bits_bound_the_overlap():
@@ -274,9 +274,21 @@ def test_bits_bound_the_overlap():
                 assert wanted <= set(tiles.open_pairs(size, maps, i, np.flatnonzero(np.arange(12) != i)).tolist())
 
 
-def test_bands_of_linked_sizes():
-    n = np.arange(1, 30_000)
-    assert (tiles.band(n * 100 // 80) - tiles.band(n) <= 1).all()
+def test_linked_sets_share_a_tile():
+    """Random pairs at and above the limit, of all small sizes: every link has a tile in common."""
+    rng = np.random.default_rng(4)
+    pool, links = spans.mix(np.arange(1, 5000, dtype=np.uint64)), 0
+    for n in [*range(1, 40), 64, 65, 100, 129, 300, 1000]:
+        for _ in range(30):
+            base = rng.choice(pool, n, replace=False)
+            lost = int(rng.integers(0, n // 5 + 1))
+            more = rng.choice(pool, int(rng.integers(0, max(n // 4 - lost, 0) + 1)), replace=False)
+            a, b = np.unique(base), np.unique(np.r_[base[lost:], more])
+            if len(b) and tiles.linked(a, b):
+                links += 1
+                which, cell = tiles.tiles_of([a, b])
+                assert set(cell[which == 0].tolist()) & set(cell[which == 1].tolist()), (n, lost, len(more))
+    assert links > 800
 
 
 def test_set_of_a_long_text_in_parts(monkeypatch):
