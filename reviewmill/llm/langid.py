@@ -47,6 +47,13 @@ START = "▁"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def _only_letters(run: str) -> list[str]:
+    """The stretches of letters (general category L) in a run of word characters."""
+    if run.isalpha():
+        return [run]
+    return "".join(c if c.isalpha() else " " for c in run).split()
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> dict[str, int]:
     """Pieces that lower-case words can be made of, numbered in order of the vocabulary."""
@@ -63,7 +70,9 @@ def vocabulary(path: str) -> dict[str, int]:
 
 
 def words_of(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    # Number signs such as ² are word characters for the pattern, but no letters.
+    found = _LETTERS.findall(text.lower())
+    return found if text.isascii() else [w for run in found for w in _only_letters(run)]
 
 
 @dataclass

@@ -15,6 +15,7 @@ are ignored.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -68,6 +69,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Special tokens are found in the raw text before anything else; what lies between is ordinary text.
+        specials = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.special_ids = {name: np.array([i], "<u4").tobytes() for name, i in specials.items()}
+        self.specials = re.compile(b"(" + b"|".join(map(re.escape, specials)) + b")") if specials else None
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -105,7 +110,16 @@ class WordEncoder:
             memo[part] = memo[stem] + memo[last]
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
+        """Ids of each text as little-endian 32-bit numbers, as the plain tokenizer gives them."""
+        if self.specials is None or not any(self.specials.search(x) for x in texts):
+            return self._ordinary(texts)
+        cut = [self.specials.split(x) for x in texts]
+        between = iter(self._ordinary([x for parts in cut for x in parts[::2]]))
+        return [
+            b"".join(self.special_ids[x] if k % 2 else next(between) for k, x in enumerate(parts)) for parts in cut
+        ]
+
+    def _ordinary(self, texts: list[bytes]) -> list[bytes]:
         split = [_lowered(x).split() for x in texts]
         if len(self.memo) > MEMO_ENTRIES:
             self.memo, self.old = {}, self.memo

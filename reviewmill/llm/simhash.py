@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm import common
+from reviewmill.llm import common, tiles
 from reviewmill.llm.components import connected
 from reviewmill.llm.keyed import KEY, with_key
 from reviewmill.session import materialise
@@ -245,12 +245,46 @@ def hex_of(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` of each component stays, the one with the smallest doc_id, with all its columns.
+def _majority(hashes: np.ndarray) -> int:
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 65536):
+        counts += np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(
+            axis=0, dtype=np.int64
+        )
+    return sum(1 << int(b) for b in np.flatnonzero(2 * counts > len(hashes)))
+
 
-    Rows that repeat an id, or have none, are ordered by their texts (see ``keyed``); null ids come first.
+def proposed(sets: DataFrame) -> DataFrame:
+    """(a, b): pairs whose fingerprints, taken of the shingle sets (node, grams), are equal or near; they tie all such nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.steps(batches, "grams"):
+            fps = [_majority(np.frombuffer(x, np.uint64)) for x in batch.column("grams").to_pylist()]
+            yield common.columns_to_batch("node,fp", batch.column("node"), np.array(fps, np.uint64).view(np.int64))
+
+    prints = materialise(sets.select("node", "grams").mapInArrow(run, "node long, fp long"))
+    points = materialise(prints.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("n")))
+    links = near_links(points.select("fp")).distinct()
+    ends = points.select("fp", "least")
+    near = links.join(ends.withColumnsRenamed({"fp": "a", "least": "x"}), "a").join(
+        ends.withColumnsRenamed({"fp": "b", "least": "y"}), "b"
+    ).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    equal = prints.join(points.filter("n > 1").select("fp", "least"), "fp").filter("node <> least")
+    return near.unionByName(equal.select(F.col("least").alias("a"), F.col("node").alias("b")))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row of ``docs`` of each component of near copies stays, the one with the smallest doc_id, with all its columns.
+
+    Near copies have a Jaccard similarity of at least ``percent`` over ``shingle``-word shingles. Near
+    fingerprints of these sets propose pairs, which are verified on the sets. What fingerprints cannot
+    reach (at this similarity they differ in up to a dozen bits) is found by the tiles of ``tiles``, so no link is missed. Texts
+    without words are copies of each other. Rows that repeat an id, or have none, are ordered by their
+    texts (see ``keyed``); null ids come first.
     """
     keyed = with_key(docs)
-    found = components(keyed.select(F.col(KEY).alias("doc_id"), "text"))
-    copies = materialise(found.filter("doc_id <> component_id").select(F.col("doc_id").alias(KEY)))
-    return keyed.join(copies, KEY, "left_anti").select(*docs.columns)
+    found = materialise(tiles.classes(keyed, shingle, percent, rounds=2, first=proposed))
+    empty = found.filter("n = 0").agg(F.min("node")).first()[0]
+    gone = F.col("node") != (F.when(F.col("n") == 0, F.lit(empty)).otherwise(F.col("root")))
+    copies = materialise(found.filter(gone).select(F.col("node").alias(KEY)))
+    return keyed.join(tiles.counted(copies), KEY, "left_anti").select(*docs.columns)

@@ -28,7 +28,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,7 @@ from reviewmill.session import materialise
 
 SHINGLE, PERCENT = 5, 80
 #: Bits of a signature per shingle; it is a power of two between the limits.
-BITS, LEAST_BITS, MOST_BITS = 4, 64, 1 << 16
+BITS, LEAST_BITS, MOST_BITS = 2, 64, 1 << 16
 #: Contraction rounds, points of a tile, and points of a crowded tile that go to all its parts.
 ROUNDS, TILE, HUBS = 3, 512, 48
 #: Bytes of sets that a tile holds at most, on average.
@@ -52,7 +52,11 @@ TILE_BYTES = 4 << 20
 FILTER_BITS = 26
 #: Tasks that the rows of one point or component may be dealt to.
 SLICES = 32
+#: A stored table of at most so many short rows is broadcast, a larger one is joined by a shuffle.
+BROADCAST_ROWS = 200_000
 _SALT = np.uint64(0x632BE59BD9B4E019)
+#: Takes sets (node, grams), proposes pairs (a, b).
+First = Callable[[DataFrame], DataFrame]
 
 
 def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -180,6 +184,11 @@ def _stacked(sets_or_maps: list[np.ndarray], size: np.ndarray, made: bool = Fals
     return np.stack([signature(x, bits) for x in sets_or_maps])
 
 
+def counted(short: DataFrame) -> DataFrame:
+    """A stored table of short rows, marked for broadcast if its counted size allows."""
+    return F.broadcast(short) if short.count() <= BROADCAST_ROWS else short
+
+
 def name_of(x: np.ndarray) -> int:
     """A set's 64-bit name, as a signed number."""
     return int.from_bytes(xxhash.xxh64_digest(x.tobytes(), 42), "little", signed=True)
@@ -350,8 +359,8 @@ def contract(live: DataFrame, sets: DataFrame, labels: DataFrame, turn: int, per
         (F.col("tiles") > 1) & (F.pmod(spot, F.greatest(F.col("held") / HUBS, F.lit(1)).cast("long")) == 0),
         F.sequence(F.lit(0), F.col("tiles") - 1),
     ).otherwise(F.array(F.pmod(F.xxhash64("node", F.lit(turn + 2000)), F.col("tiles").cast("long")).cast("int")))
-    dealt = placed.join(crowds, "cell").select("node", "label", "cell", F.explode(parts).alias("part"))
-    units = dealt.join(sets, "node").select(F.xxhash64("cell", "part").alias("unit"), "node", "label", "grams")
+    dealt = materialise(placed.join(crowds, "cell").select("node", "label", "cell", F.explode(parts).alias("part")))
+    units = sets.join(counted(dealt), "node").select(F.xxhash64("cell", "part").alias("unit"), "node", "label", "grams")
     return _in_tiles(units, percent)
 
 
@@ -383,7 +392,7 @@ def candidates(live: DataFrame, sets: DataFrame, labels: DataFrame, percent: int
         F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")).alias("unit"),
         (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "label",
     ))
-    signs = _signatures(sets.join(units.select("node").distinct(), "node", "left_semi"), percent)
+    signs = _signatures(sets.join(counted(materialise(units.select("node").distinct())), "node", "left_semi"), percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, ["unit", "side", "node", "label", "n", "bits"]):
@@ -412,7 +421,7 @@ def open_in_tile(side, node, label, size, bits, percent: int = PERCENT) -> list[
 
 def verified(sets: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs whose sorted sets share enough."""
-    both = pairs.join(sets.withColumnsRenamed({"node": "a", "grams": "x"}), "a").join(
+    both = sets.withColumnsRenamed({"node": "a", "grams": "x"}).join(counted(pairs), "a").join(
         sets.withColumnsRenamed({"node": "b", "grams": "y"}), "b"
     )
 
@@ -427,12 +436,17 @@ def verified(sets: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataF
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def roots(live: DataFrame, sets: DataFrame, percent: int = PERCENT, tile: int = TILE, rounds: int = ROUNDS) -> DataFrame:
-    """(node, root) of the points that are linked with another one."""
+def roots(
+    live: DataFrame, sets: DataFrame, percent: int = PERCENT, tile: int = TILE, rounds: int = ROUNDS, first: First | None = None
+) -> DataFrame:
+    """(node, root) of the points that are linked with another one; ``first`` proposes pairs before all tiles."""
     links, found = None, None
     labels = sets.select("node", F.col("node").alias("label"))
-    for turn in range(rounds):
-        fresh = materialise(contract(live, sets, labels, turn, percent, tile))
+    for turn in range(-1 if first else 0, rounds):
+        if turn < 0:
+            fresh = materialise(verified(sets, materialise(first(sets)), percent))
+        else:
+            fresh = materialise(contract(live, sets, labels, turn, percent, tile))
         links = fresh if links is None else links.unionByName(fresh)
         if not fresh.limit(1).count():
             continue
@@ -446,7 +460,10 @@ def roots(live: DataFrame, sets: DataFrame, percent: int = PERCENT, tile: int =
     return connected(fresh if links is None else links.unionByName(fresh))
 
 
-def classes(keyed: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, tile: int = TILE, rounds: int = ROUNDS) -> DataFrame:
+def classes(
+    keyed: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, tile: int = TILE, rounds: int = ROUNDS,
+    first: First | None = None,
+) -> DataFrame:
     """(node, n, root) of every row: root is the least key of its component."""
     rows = materialise(prints(keyed, shingle)).withColumn("slice", F.pmod(F.xxhash64("node"), F.lit(SLICES)))
     # Equal sets are one point; its first row stands for it.
@@ -456,7 +473,7 @@ def classes(keyed: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, ti
     shared = materialise(shared_tiles(keyed, shingle, percent))
     live = materialise(shared.join(points.select("point", "node"), "point").select("cell", "node"))
     sets = materialise(sets_of(keyed, live.select("node").distinct(), shingle))
-    joined = roots(live, sets, percent, tile, rounds)
+    joined = roots(live, sets, percent, tile, rounds, first)
     named = points.join(joined, "node", "left").filter("copies > 1 or root is not null").select(
         "point", F.coalesce("root", "node").alias("root"), F.explode("slices").alias("slice")
     )

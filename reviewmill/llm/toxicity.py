@@ -119,31 +119,40 @@ class LabelModel:
     weight: np.ndarray
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        ratio = np.log(self.table[:, 1] / self.table[:, 0])
-        said = np.take_along_axis(ratio[None], (votes + 1)[:, :, None].astype(np.intp), axis=2)[:, :, 0]
-        logit = np.log(self.prior / (1 - self.prior)) + (said * self.weight).sum(axis=1)
+        kinds, back = np.unique(votes, axis=0, return_inverse=True)
+        return self.of_patterns(kinds)[back.ravel()]
+
+    def of_patterns(self, kinds: np.ndarray) -> np.ndarray:
+        ratio = np.log(self.table[:, 1] / self.table[:, 0]) * self.weight[:, None]
+        logit = np.full(len(kinds), np.log(self.prior / (1 - self.prior)))
+        for vote in (-1, 0, 1):
+            logit += (kinds == vote) @ ratio[:, vote + 1]
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
 def fit_label_model(votes: np.ndarray, prior: float, rounds: int = 60, related: float = 0.15) -> LabelModel:
-    """Expectation-maximisation, then correlations inside the classes, then expectation-maximisation again."""
-    n, voters = votes.shape
+    """Expectation-maximisation, then correlations inside the classes, then expectation-maximisation again.
+
+    Rows with equal votes count as one pattern, so the work follows the patterns.
+    """
+    votes, times = np.unique(votes, axis=0, return_counts=True)
+    voters = votes.shape[1]
     said = (votes == 1).sum(axis=1)
     start = np.select([said >= 4, said >= 1], [0.9, 0.3], 0.03)
 
     # A voter that says little says it in both classes until the rows show otherwise.
-    pseudo = 3 * np.stack([(votes == v).mean(axis=0) for v in (-1, 0, 1)]) + 1e-3
+    pseudo = 3 * np.stack([times @ (votes == v) / max(times.sum(), 1) for v in (-1, 0, 1)]) + 1e-3
 
     def fit(weight: np.ndarray, belief: np.ndarray) -> tuple[LabelModel, np.ndarray]:
         model = None
         for _ in range(rounds):
             table = np.empty((voters, 2, 3))
-            for c, share in ((0, 1 - belief), (1, belief)):
+            for c, share in ((0, times * (1 - belief)), (1, times * belief)):
                 for v in (-1, 0, 1):
                     table[:, c, v + 1] = share @ (votes == v) + pseudo[v + 1]
             table /= table.sum(axis=2, keepdims=True)
             model = LabelModel(table, prior, weight)
-            after = model.posterior(votes)
+            after = model.of_patterns(votes)
             if np.abs(after - belief).max(initial=0) < 1e-6:
                 break
             belief = after
@@ -152,7 +161,7 @@ def fit_label_model(votes: np.ndarray, prior: float, rounds: int = 60, related:
     model, belief = fit(np.ones(voters), start)
     # What is left of the votes when their class is known: correlated rests are shared evidence.
     spread = np.zeros((voters, voters))
-    for c, share in ((0, 1 - belief), (1, belief)):
+    for c, share in ((0, times * (1 - belief)), (1, times * belief)):
         mean = model.table[:, c, 2] - model.table[:, c, 1]
         rest = (np.where(votes == 1, 1, np.where(votes == 0, -1, 0)) - mean) * np.sqrt(share)[:, None]
         spread += rest.T @ rest

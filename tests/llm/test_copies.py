@@ -2,12 +2,9 @@
 
 import random
 
-import numpy as np
-import pytest
-
 import cases
 import corpus_pipeline
-from reviewmill.llm import copies
+from reviewmill.llm import simhash
 from reviewmill.llm.common import table
 
 
@@ -48,10 +45,10 @@ def edited(words, seed, edits):
 
 def test_odd_rows(spark):
     odd = cases.with_clashes(cases.frame(spark, cases.odd_rows()).repartition(3))
-    left = copies.one_of_each(odd)
+    left = simhash.one_of_each(odd)
     assert left.columns == odd.columns
     assert kept(left) == survivors([r[:2] for r in cases.odd_rows()])
-    assert copies.one_of_each(cases.frame(spark, [])).collect() == []
+    assert simhash.one_of_each(cases.frame(spark, [])).collect() == []
 
 
 def test_stage_finds_pairs_far_apart_in_fingerprints(spark):
@@ -63,8 +60,7 @@ def test_stage_finds_pairs_far_apart_in_fingerprints(spark):
     assert not {145, 177} & {doc_id for doc_id, _ in got}
 
 
-@pytest.mark.parametrize("tile", [512, 16])
-def test_planted_copies_and_tiles(spark, tile):
+def test_planted_copies(spark):
     """Copies just above and just below the limit, a crowd around one text, and a chain; recall is whole."""
     rows = []
     for k in range(60):
@@ -77,11 +73,4 @@ def test_planted_copies_and_tiles(spark, tile):
         chain = edited(chain, 7000 + i, 4).split()
         rows.append((8000 + i, " ".join(chain)))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    assert kept(copies.one_of_each(docs, tile)) == survivors(rows)
-
-
-def test_unit_keeps_pairs_of_one_side_apart():
-    same = [np.arange(10, dtype=np.uint64)] * 3
-    assert copies.links_in_unit([0, 0, 1], [1, 2, 3], same) == [(1, 2), (0, 2)]
-    assert copies.links_in_unit([0, 0, 1], [1, 1, 3], same) == [(1, 2)]
-    assert copies.links_in_unit([0, 0, 0], [4, 4, 4], same) == []
+    assert kept(simhash.one_of_each(docs)) == survivors(rows)

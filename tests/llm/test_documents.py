@@ -169,8 +169,11 @@ def test_packing_is_whole_and_gapless(documents, odd):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
-    for docs in (documents, odd):
+    special = cases.frame(odd.sparkSession, [
+        (n, text, None, None, None)
+        for n, text in enumerate(["a <|endoftext|> b", "<|startoftext|>", "É<|endoftext|><|endoftext|>É <|ENDOFTEXT|>", "<|end oftext|>"])
+    ])
+    for docs in (documents, odd, special):
         want = []
         for doc_id, text in pairs(docs):
             ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [1]

@@ -17,3 +17,7 @@ def test_rare_language_is_learned(spark):
     assert model.languages == ["aa", "zz"]
     got = langid.predict(docs.filter("lang = 'zz'"), model).collect()
     assert {r["lang_pred"] for r in got} == {"zz"}
+
+
+def test_number_signs_are_no_letters():
+    assert [langid.words_of(x) for x in ("½ ² ①", "Ⅷ", "²", "x² Ⅷa 3b_c", "ﬀ ª")] == [[], [], [], ["x", "a", "b", "c"], ["ﬀ", "ª"]]

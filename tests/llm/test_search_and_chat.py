@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import brute
 import cases
+from test_copies import survivors
 import corpus_pipeline
 from reviewmill.llm import chat, maxscore, queries, toxicity
 from reviewmill.llm.common import table
@@ -133,8 +134,7 @@ def test_pipeline_stages_follow_from_each_other(spark):
     model = toxicity.fit(docs, table(spark, SF_DIR, "labels"))
     toxic = {r["doc_id"] for r in toxicity.score(docs, model).filter("predicted = 1").collect()}
     kept = {k: t for k, t in kept.items() if k not in toxic}
-    first = {r[2] for r in brute.near_copies(kept.items())}
-    kept = {k: t for k, t in kept.items() if k in first}
+    kept = dict(survivors(list(kept.items())))
     lost = {r[0]: r for r in brute.windows(kept.items())}
     stages = corpus_pipeline.STAGES
     assert [name for name, _ in stages] == ["toxicity", "near_copies", "repeated_windows", "benchmark", "pack"]
