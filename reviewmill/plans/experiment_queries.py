@@ -42,6 +42,17 @@ _ARMS = """
 """
 
 
+@catalog.add("stream_metric_log", sql(f"""
+select event_id, 'ranker' as test_id, concat('user_', cast(user_id as varchar)) as user_id,
+  case when {BUCKET} < 50 then 'A' else 'B' end as "group", event_type as metric, value, ts
+from (select distinct *, md5(concat('user_', cast(user_id as varchar))) as h from events)"""))
+def stream_metric_log(spark, sf_dir):
+    """The events as a stream into a versioned table, which is then read."""
+    table, state = _stream_folders(spark)
+    log = streams.stream_metric_log(spark, sf_dir, table, state, "ranker", pattern="events.parquet")
+    return log.withColumn("ts", F.to_utc_timestamp("ts", F.current_timezone()).cast("timestamp_ntz"))
+
+
 @catalog.add("ab_t_test", sql(_ARMS + """
 select metric, na as sample_size_a, round(ma, 6) as mean_a, round(sa, 6) as std_a, nb as sample_size_b,
   round(mb, 6) as mean_b, round(sb, 6) as std_b, na + nb - 2 as dof,

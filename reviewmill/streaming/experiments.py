@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewmill.operators import experiments, ordered
+from reviewmill.sources import writers
 
 #: An end-of-input marker lies this long after the newest event; more than a window and the allowed lateness.
 GAP = "3 days"
@@ -141,6 +142,40 @@ def stream_ab_metrics(
     return spark.read.parquet(out)
 
 
+def metric_events(events: DataFrame, test_id: str, lateness: str, split: float = 0.5) -> DataFrame:
+    """The metric log rows of an event stream; an event that is delivered again within ``lateness`` counts once."""
+    once = events.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["event_id"])
+    user = F.concat(F.lit("user_"), F.col("user_id").cast("string"))
+    return once.filter(F.col("event_id").isNotNull()).select(
+        "event_id", F.lit(test_id).alias("test_id"), user.alias("user_id"), experiments.group_of(user, split).alias("group"),
+        F.col("event_type").alias("metric"), "value", "ts",
+    )
+
+
+def stream_metric_log(
+    spark: SparkSession, folder: str, path: str, checkpoint: str, test_id: str, lateness: str = "1 hour",
+    split: float = 0.5, **source,
+) -> DataFrame:
+    """Appends the metric rows of new events to the versioned table at ``path`` and returns the table.
+
+    Every micro-batch is one commit that carries the batch's number. If a run dies after the commit and before the
+    checkpoint, the batch is run again under the same number and adds nothing. One checkpoint is one writer.
+    """
+
+    def append(rows: DataFrame, number: int) -> None:
+        if writers.append_table(rows, path, f"metrics:{test_id}", number) is None:
+            # The state of the stream has to go on although the table has these rows.
+            rows.write.format("noop").mode("append").save()
+
+    events = event_stream(spark, folder, **source)
+    query = (
+        metric_events(events, test_id, lateness, split).writeStream.foreachBatch(append)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return writers.read_table(spark, path)
+
+
 def ab_metrics_to_end(
     spark: SparkSession, folder: str, out: str, checkpoint: str, window: str = "1 day", lateness: str = "1 hour",
     split: float = 0.5, **source,

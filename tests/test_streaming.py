@@ -32,3 +32,28 @@ def test_percentile_stream(spark, tmp_path):
     table = streams.stream_value_percentiles(spark, src, str(tmp_path / "out"), str(tmp_path / "state"))
     row = table.first()
     assert (row.n, row.mean, row.p95, row.p99) == (100, 50.5, 95.0, 99.0)
+
+
+def test_metric_log_counts_events_once(spark, tmp_path):
+    """Repeated and late events, and a batch whose checkpoint was lost after its commit."""
+    src, table, state = (str(tmp_path / n) for n in ("src", "table", "state"))
+    put(spark, [event(1, "2024-01-01 01:00:00", 2.0), event(1, "2024-01-01 01:00:00", 2.0), event(2, "2024-01-01 01:10:00", 3.0)], src)
+    assert streams.stream_metric_log(spark, src, table, state, "t").count() == 2
+    put(spark, [event(2, "2024-01-01 01:10:00", 3.0), event(3, "2024-01-01 03:30:00", 4.0, user=7)], src)
+    log = streams.stream_metric_log(spark, src, table, state, "t")
+    assert sorted((r.event_id, r.user_id, r.value) for r in log.collect()) == [
+        (1, "user_1", 2.0), (2, "user_1", 3.0), (3, "user_7", 4.0)
+    ]
+    # Older than the watermark: dropped.
+    put(spark, [event(4, "2024-01-01 00:10:00", 100.0), event(5, "2024-01-01 03:40:00", 5.0)], src)
+    assert sorted(r.event_id for r in streams.stream_metric_log(spark, src, table, state, "t").collect()) == [1, 2, 3, 5]
+    # Another checkpoint, as if the first were lost: its numbers start again, the table has seen them.
+    again = streams.stream_metric_log(spark, src, table, str(tmp_path / "other"), "t")
+    assert sorted(r.event_id for r in again.collect()) == [1, 2, 3, 5]
+    # A commit without its checkpoint entry: the batch is run again.
+    put(spark, [event(6, "2024-01-01 03:50:00")], src)
+    streams.stream_metric_log(spark, src, table, state, "t")
+    last = max((tmp_path / "state" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for path in (last, last.with_name(f".{last.name}.crc")):
+        path.unlink(missing_ok=True)
+    assert sorted(r.event_id for r in streams.stream_metric_log(spark, src, table, state, "t").collect()) == [1, 2, 3, 5, 6]
