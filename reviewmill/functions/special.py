@@ -6,12 +6,17 @@ They only ever see one row per test, after all aggregation is done in Spark.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Up to this many values on the smaller side the rank test is exact, up to this many in either
+#: sample the Kolmogorov-Smirnov test is.
+EXACT_SIDE, EXACT_KS = 8, 10_000
+
 
 def beta_inc(a: float, b: float, x: float) -> float:
     """Regularised incomplete beta function (continued fraction, Lentz)."""
@@ -94,19 +99,67 @@ def normal_two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
 
 
+@lru_cache(maxsize=EXACT_SIDE)
+def _partition_numerator(n: int) -> tuple[int, list[int]]:
+    """L and the polynomial N with 1 / ((1 - q) (1 - q)(1 - q^2)...(1 - q^n)) = N(q) / (1 - q^L)^(n + 1)."""
+    period, numerator = math.lcm(*range(1, n + 1)), [1]
+    for part in (1, *range(1, n + 1)):
+        # Times 1 + q^part + q^(2 part) + ... below q^L.
+        out = [0] * (len(numerator) + period - part)
+        for j in range(len(out)):
+            fresh = numerator[j] if j < len(numerator) else 0
+            gone = numerator[j - period] if 0 <= j - period < len(numerator) else 0
+            out[j] = fresh - gone + (out[j - part] if j >= part else 0)
+        numerator = out
+    return period, numerator
+
+
 def mann_whitney_exact(u: float, n: int, m: int) -> float:
-    """P(U >= u) without ties, from the Gaussian binomial coefficients."""
+    """P(U >= u) without ties, exact for a smaller side of at most ``EXACT_SIDE`` and any larger one.
+
+    The arrangements with U <= k are the partitions of at most k into n parts of at most m. Inclusion and exclusion
+    over the parts that are too large leaves 2^n counts of partitions without that limit, each a short sum of
+    binomial coefficients, so no table of the size n m is needed.
+    """
     n, m = sorted((n, m))
-    ways = np.zeros(n * m + 1)
-    ways[0] = 1.0
-    for i in range(1, n + 1):
-        up = ways.copy()
-        if m + i <= n * m:
-            up[m + i :] -= ways[: n * m + 1 - (m + i)]
-        for r in range(i):
-            up[r::i] = np.cumsum(up[r::i])
-        ways = up
-    return float(ways[int(math.ceil(u)) :].sum() / math.comb(n + m, n))
+    period, numerator = _partition_numerator(n)
+
+    def at_most(k: int) -> int:
+        return sum(
+            numerator[r] * math.comb((k - r) // period + n, n)
+            for r in range(k % period, min(k + 1, len(numerator)), period)
+        ) if k >= 0 else 0
+
+    # The law is symmetric: as many arrangements reach u as stay below n m - u.
+    k, ways = n * m - math.ceil(u), 0
+    for some in range(1 << n):
+        over = [m + i + 1 for i in range(n) if some >> i & 1]
+        ways += (-1) ** len(over) * at_most(k - sum(over))
+    return ways / math.comb(n + m, n)
+
+
+def ks_exact(distance: float, n: int, m: int) -> float:
+    """P(D >= distance) of the two-sample Kolmogorov-Smirnov statistic for samples of n and m different values.
+
+    The pooled order of both samples is a path from (0, 0) to (n, m), all being equally likely. Diagonal by diagonal
+    the recursion holds, for each place, which share of the paths to it has stayed within the distance; only places
+    within it are kept.
+    """
+    # Distances are multiples of 1 / (n m): whole numbers compare exactly.
+    gap = round(distance * n * m)
+    if gap <= 0:
+        return 1.0
+    share, low = np.ones(1), 0
+    for k in range(1, n + m + 1):
+        first = max(0, k - m, (k * n - gap) // (n + m) + 1)
+        last = min(n, k, -(-(k * n + gap) // (n + m)) - 1)
+        if last < first:
+            return 1.0
+        i = np.arange(first, last + 1)
+        around = np.r_[0.0, share, 0.0]
+        share = (around[first - low : last - low + 1] * i + around[first - low + 1 : last - low + 2] * (k - i)) / k
+        low = first
+    return float(min(max(1.0 - share[0], 0.0), 1.0))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -127,24 +180,26 @@ def chi2_pvalue(stat: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(a) else gamma_upper(b / 2.0, a / 2.0) for a, b in zip(stat, dof)], dtype="float64")
 
 
-EXACT_SIDE, EXACT_CELLS = 8, 1_000_000
+@F.pandas_udf(T.DoubleType())
+def ks_pvalue_exact(distance: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    """The exact two-sided p-value; null for samples above ``EXACT_KS``, where the limiting law is used."""
+    rows = zip(distance, n, m)
+    return pd.Series(
+        [None if pd.isna(d) or max(a, b) > EXACT_KS or not a or not b else ks_exact(d, int(a), int(b)) for d, a, b in rows],
+        dtype="float64",
+    )
 
 
 @F.pandas_udf(T.DoubleType())
 def mann_whitney_pvalue(u: pd.Series, n: pd.Series, m: pd.Series, ties: pd.Series) -> pd.Series:
-    """Two-sided. Exact when there are no ties, one side has at most ``EXACT_SIDE`` values and the exact
-    law needs at most ``EXACT_CELLS`` numbers (its table holds a number per value of U, and would not fit a task
-    for sides of very different size) or one side has one value (closed form, any size); else the tie- and
-    continuity-corrected normal law. Beyond ``EXACT_CELLS`` sides of two to ``EXACT_SIDE`` values get the normal law too;
-    in the far tail it can be off by far more than a hundredth there."""
+    """Two-sided. Exact when there are no ties and one side has at most ``EXACT_SIDE`` values, whatever the
+    size of the other; else the tie- and continuity-corrected normal law."""
 
     def one(u1: float, a: float, b: float, tie: float) -> float | None:
         if pd.isna(u1) or a == 0 or b == 0:
             return None
         top = max(u1, a * b - u1)
-        if min(a, b) == 1 and tie == 0:
-            return min(1.0, 2.0 * (max(a, b) - math.ceil(top) + 1.0) / (a + b))
-        if min(a, b) <= EXACT_SIDE and tie == 0 and a * b <= EXACT_CELLS:
+        if min(a, b) <= EXACT_SIDE and tie == 0:
             return min(1.0, 2.0 * mann_whitney_exact(top, int(a), int(b)))
         total = a + b
         spread = math.sqrt(a * b / 12.0 * (total + 1.0 - tie / (total * (total - 1.0))))

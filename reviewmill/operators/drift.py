@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill.functions import special
 from reviewmill.operators import ordered
 from reviewmill.session import materialise
 
@@ -46,12 +47,16 @@ def _ks(samples: DataFrame) -> DataFrame:
     totals = samples.groupBy("metric").agg(F.sum("c").alias("n_cur"), F.sum("r").alias("n_ref"))
     gap = F.abs(F.try_divide("fc", "n_cur") - F.try_divide("fr", "n_ref"))
     stats = samples.join(materialise(totals), "metric").groupBy("metric", "n_cur", "n_ref").agg(F.max(gap).alias("ks_statistic"))
-    p = kolmogorov_sf(F.col("ks_statistic"), F.col("n_cur"), F.col("n_ref"))
-    return stats.withColumn("ks_pvalue", p)
+    law = [F.col("ks_statistic"), F.col("n_cur"), F.col("n_ref")]
+    exact = special.ks_pvalue_exact(*[c.cast("double") for c in law])
+    return stats.withColumn("ks_pvalue", F.coalesce(exact, kolmogorov_sf(*law)))
 
 
 def ks_drift(current: DataFrame, reference: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(metric, n_cur, n_ref, ks_statistic, ks_pvalue) of the two-sample test."""
+    """(metric, n_cur, n_ref, ks_statistic, ks_pvalue) of the two-sample test.
+
+    The p-value is exact up to ``special.EXACT_KS`` values in either sample, above that it is that of the limiting law.
+    """
     return _ks(_two_samples(current, reference, cols))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -34,6 +35,31 @@ def ab_metric_log(spark, sf_dir):
     return rounded(experiments.track(log, "ranker").drop("ts"), "value")
 
 
+def _simpson(body: str, low: str, high: str, steps: int = 4000) -> str:
+    """The integral of ``body``, an expression of x, as SQL."""
+    step = f"(({high}) - ({low})) / {steps}e0"
+    inner = re.sub(r"\bx\b", lambda _: f"(({low}) + i * {step})", body)
+    return f"""({step} / 3 * list_sum(list_transform(range(0, {steps + 1}),
+  lambda i: (case when i = 0 or i = {steps} then 1 when i % 2 = 1 then 4 else 2 end) * {inner})))"""
+
+
+def _t_tail(t: str, nu: str) -> str:
+    """Two-sided tail of Student's t: with t = sqrt(nu) tan x the density is a power of the cosine."""
+    start = f"atan(abs({t}) / sqrt({nu}))"
+    end = f"least(pi() / 2, {start} + 16 / sqrt({nu}))"
+    return f"""(2 * {_simpson(f"pow(greatest(cos(x), 0), ({nu}) - 1)", start, end)}
+  / (sqrt(pi()) * exp(lgamma(({nu}) / 2e0) - lgamma(({nu}) / 2e0 + 0.5e0))))"""
+
+
+def _t_margin(nu: str) -> str:
+    """The t beyond which both tails hold 0.05, by halving [0, 50]."""
+    middle = "((b[1] + b[2]) / 2)"
+    return f"""(list_reduce(list_prepend([0e0, 50e0], list_transform(range(45), lambda j: [0e0, 0e0])),
+  lambda b, z: case when {_t_tail(middle, nu)} > 0.05 then [{middle}, b[2]] else [b[1], {middle}] end)[1])"""
+
+
+_NORMAL = _simpson("exp(-(x) * (x) / 2) / sqrt(2 * pi())", "zz", "zz + 14")
+
 _ARMS = """
 , arms as (select metric, count(*) filter ("group" = 'A') as na, count(*) filter ("group" = 'B') as nb,
     avg(value) filter ("group" = 'A') as ma, avg(value) filter ("group" = 'B') as mb,
@@ -64,9 +90,30 @@ def ab_t_test(spark, sf_dir):
     return rounded(out, "mean_a", "mean_b", "std_a", "std_b", "t_statistic", "cohens_d", "improvement_percent")
 
 
-@catalog.add("ab_t_test_full")
+_TESTED = _ARMS + f"""
+, tests as (select *, na + nb - 2 as dof,
+    (ma - mb) / sqrt((na * sa * sa + nb * sb * sb) / (na + nb - 2) * (1 / na + 1 / nb)) as t,
+    (mb - ma) / sqrt(((na - 1) * sa * sa + (nb - 1) * sb * sb) / (na + nb - 2)) as cd,
+    case when ma > 0 then (mb - ma) / ma * 100 else 0 end as up from arms)
+, tp as (select *, {_t_tail("t", "dof")} as p from tests)
+"""
+
+
+@catalog.add("ab_t_test_full", sql(_TESTED + f"""
+select metric, na as sample_size_a, round(ma, 6) as mean_a, round(sa, 6) as std_a, nb as sample_size_b,
+  round(mb, 6) as mean_b, round(sb, 6) as std_b, dof, round(t, 6) as t_statistic, round(cd, 6) as cohens_d,
+  round(up, 6) as improvement_percent, round(p, 6) as p_value, p < 0.05 as is_significant,
+  round(ma - {_t_margin("na - 1")} * sa / sqrt(na), 6) as low_a, round(ma + {_t_margin("na - 1")} * sa / sqrt(na), 6) as high_a,
+  round(mb - {_t_margin("nb - 1")} * sb / sqrt(nb), 6) as low_b, round(mb + {_t_margin("nb - 1")} * sb / sqrt(nb), 6) as high_b
+from tp""", "ab_metrics"))
 def ab_t_test_full(spark, sf_dir):
-    return experiments.t_test(tv.ab_metrics(spark, sf_dir))
+    out = experiments.t_test(tv.ab_metrics(spark, sf_dir))
+    for tag in ("a", "b"):
+        out = out.withColumns({f"low_{tag}": F.col(f"ci_{tag}")[0], f"high_{tag}": F.col(f"ci_{tag}")[1]})
+    return rounded(
+        out.drop("ci_a", "ci_b"), "mean_a", "mean_b", "std_a", "std_b", "t_statistic", "cohens_d", "improvement_percent",
+        "p_value", "low_a", "high_a", "low_b", "high_b",
+    )
 
 
 @catalog.add("ab_mann_whitney", sql("""
@@ -80,9 +127,36 @@ def ab_mann_whitney(spark, sf_dir):
     return rounded(experiments.rank_statistics(tv.ab_metrics(spark, sf_dir)), "u_statistic", "ties")
 
 
-@catalog.add("ab_mann_whitney_full")
+_RANKED = f"""
+, r as (select *, rank() over (partition by metric order by value)
+    + (count(*) over (partition by metric, value) - 1) / 2e0 as rk, count(*) over (partition by metric, value) as t
+  from ab_metrics)
+, us as (select metric, count(*) filter ("group" = 'A') as n_a, count(*) filter ("group" = 'B') as n_b,
+    sum(rk) filter ("group" = 'A') - (count(*) filter ("group" = 'A')) * (count(*) filter ("group" = 'A') + 1) / 2 as u,
+    sum(t * t - 1)::double as ties, avg(value) filter ("group" = 'A') as mean_a, avg(value) filter ("group" = 'B') as mean_b
+  from r group by 1)
+, zs as (select *, (greatest(u, n_a * n_b - u) - n_a * n_b / 2e0 - 0.5e0)
+    / sqrt(n_a * n_b / 12e0 * (n_a + n_b + 1 - ties / ((n_a + n_b) * (n_a + n_b - 1e0)))) as zz from us)
+, ex as (
+  select metric, n_a + n_b as big, least(n_a, n_b) as n, 0::bigint as j, 0::bigint as c, 0::bigint as s, 1e0 as ways
+  from us where least(n_a, n_b) between 1 and 8 and ties = 0
+  union all
+  select metric, big, n, j + 1, c + take, s + take * (j + 1), sum(ways) from ex, (values (0), (1)) as v(take)
+  where j < big and c + take <= n group by all)
+, ends as (select ex.metric, 2 * sum(ways) filter (s - n * (n + 1) / 2 >= greatest(u, n_a * n_b - u)) / sum(ways) as exact
+  from ex join us on ex.metric = us.metric where j = big and c = n group by 1)
+, up as (select zs.*, least(1e0, coalesce(exact, 2 * {_NORMAL})) as p from zs left join ends on zs.metric = ends.metric)
+"""
+
+
+@catalog.add("ab_mann_whitney_full", sql(_RANKED + """
+select metric, n_a as sample_size_a, n_b as sample_size_b, round(u, 6) as u_statistic, round(ties, 6) as ties,
+  round(mean_a, 6) as mean_a, round(mean_b, 6) as mean_b, round(p, 6) as p_value, p < 0.05 as is_significant,
+  round(case when mean_a > 0 then (mean_b - mean_a) / mean_a * 100 else 0 end, 6) as improvement_percent
+from up""", "ab_metrics"))
 def ab_mann_whitney_full(spark, sf_dir):
-    return experiments.mann_whitney(tv.ab_metrics(spark, sf_dir))
+    out = experiments.mann_whitney(tv.ab_metrics(spark, sf_dir))
+    return rounded(out, "u_statistic", "ties", "mean_a", "mean_b", "p_value", "improvement_percent")
 
 
 def _grouped_events(spark, sf_dir):
@@ -115,14 +189,35 @@ def ab_contingency(spark, sf_dir):
     return rounded(out, "expected_a", "expected_b")
 
 
-@catalog.add("ab_chi_square_full")
-def ab_chi_square_full(spark, sf_dir):
-    return experiments.chi_square(_grouped_events(spark, sf_dir), "event_type")
+# For one degree of freedom the density has a pole at zero; with x = y^2 it has none.
+_CHI2 = _simpson("exp(-(x) * (x) / 2) * pow((x), dof - 1)", "sqrt(s)", "sqrt(s) + sqrt(dof) + 14")
 
 
-@catalog.add("ab_analyze")
+@catalog.add("ab_chi_square_full", sql(_CONTINGENCY + f"""
+, st as (select sum(power(a - ea, 2) / ea + power(b - eb, 2) / eb) as s, count(*) - 1 as dof from x)
+, cp as (select *, {_CHI2} * pow(2, 1 - dof / 2e0) / exp(lgamma(dof / 2e0)) as p from st)
+select round(s, 6) as chi2_statistic, dof as degrees_of_freedom, round(p, 6) as p_value, p < 0.05 as is_significant from cp"""))
+def ab_chi_square_full(spark, sf_dir):
+    out = experiments.chi_square(_grouped_events(spark, sf_dir), "event_type")
+    return rounded(out, "chi2_statistic", "p_value")
+
+
+@catalog.add("ab_analyze", sql(_TESTED + _RANKED + """
+, rows_ as (select tp.metric, least(na, nb) >= 5 as enough, least(na, nb) < 30 as small, na, nb, ma, mb, t, cd, tp.up, u,
+    case when least(na, nb) < 30 then up.p else tp.p end as p from tp join up on tp.metric = up.metric)
+, judged as (select *, enough and p < 0.05 as sig from rows_)
+select 'ranker' as test_id, metric, enough as sample_size_sufficient, na as sample_size_a, nb as sample_size_b,
+  5 as required_sample_size, case when enough then case when small then 'mann_whitney_u' else 't_test' end end as test_type,
+  case when enough then round(case when small then u else t end, 6) end as statistic,
+  case when enough then round(p, 6) end as p_value, sig as is_significant, case when enough then round(ma, 6) end as mean_a,
+  case when enough then round(mb, 6) end as mean_b, case when enough and not small then round(cd, 6) end as cohens_d,
+  case when enough then round(up, 6) end as improvement_percent, count(*) filter (sig) over () as significant_metrics_count,
+  case when count(*) filter (sig) over () > 0 then 'significant_results'
+    when count(*) filter (enough) over () > 0 then 'no_significant_results' else 'insufficient_data' end as overall_status
+from judged""", "ab_metrics"))
 def ab_analyze(spark, sf_dir):
-    return experiments.analyze(tv.ab_metrics(spark, sf_dir), "ranker", min_sample=5)
+    out = experiments.analyze(tv.ab_metrics(spark, sf_dir), "ranker", min_sample=5)
+    return rounded(out, "statistic", "p_value", "mean_a", "mean_b", "cohens_d", "improvement_percent")
 
 
 @catalog.add("ab_summary", sql("""

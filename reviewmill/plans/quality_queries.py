@@ -374,9 +374,19 @@ cum as (select cnt.metric, sum(c) over w / n_cur as fc, sum(r) over w / n_ref as
   from cnt join tot on cnt.metric = tot.metric
   window w as (partition by cnt.metric order by value rows between unbounded preceding and current row)),
 ks as (select metric, n_cur::bigint as n_cur, n_ref::bigint as n_ref, max(abs(fc - fr)) as d from cum group by 1, 2, 3),
-kp as (select *, case when d = 0 then 1e0 else least(1e0, greatest(0e0, list_sum(list_transform(range(1, 101),
+walk as (
+  select metric, n_cur as n, n_ref as m, round(d * n_cur * n_ref)::bigint as gap, 0::bigint as k, 0::bigint as lo, [1e0] as h
+  from ks where d > 0 and greatest(n_cur, n_ref) <= 10000
+  union all
+  select metric, n, m, gap, k + 1, a, list_transform(range(a, b + 1),
+    lambda i: (coalesce(h[i - lo], 0) * i + coalesce(h[i - lo + 1], 0) * (k + 1 - i)) / (k + 1))
+  from (select *, greatest(0, k + 1 - m, floor(((k + 1) * n - gap) / (n + m))::bigint + 1) as a,
+      least(n, k + 1, ceil(((k + 1) * n + gap) / (n + m))::bigint - 1) as b from walk where k < n + m)),
+kp as (select ks.*, case when d = 0 then 1e0 when h is not null then greatest(0e0, 1 - coalesce(h[1], 0))
+  else least(1e0, greatest(0e0, list_sum(list_transform(range(1, 101),
   lambda k: (case when k % 2 = 1 then 2e0 else -2e0 end)
-    * exp(-2e0 * k * k * (n_cur::double * n_ref / (n_cur + n_ref)) * d * d))))) end as p from ks),
+    * exp(-2e0 * k * k * (n_cur::double * n_ref / (n_cur + n_ref)) * d * d))))) end as p
+  from ks left join walk on ks.metric = walk.metric and walk.k = walk.n + walk.m),
 mom as (select metric, avg(value) filter (cur = 1) as mc, avg(value) filter (cur = 0) as mr,
   stddev_samp(value) filter (cur = 1) as sc, stddev_samp(value) filter (cur = 0) as sr from long group by 1),
 num as (select metric, d, p, case when mr = 0 then 0 else abs(mc - mr) / mr end as md,
@@ -451,7 +461,7 @@ def _dataset_sql(name: str) -> str:
     pick = f"from profile where category = '{name}')"
     drifted = _KS.replace("from profile)", pick).strip()[1:]
     judged = _VALIDATE.replace("from frame)", "from sides where cur = 1)")
-    return f"""(with {drifted} {judged}
+    return f"""(with recursive {drifted} {judged}
 select '{name}' as dataset, (s1 + s2 + s3 + s4 + s5) / 5 as quality,
   (select s from full_rep where metric = 'all_metrics') as drift,
   ((s1 + s2 + s3 + s4 + s5) / 5 < 0.7)::int + (n < 1000)::int + (s1 < 1)::int + (okr <> n)::int + (okh <> n)::int

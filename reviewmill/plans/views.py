@@ -146,5 +146,5 @@ def sql(body: str, *needs: str) -> str:
     parts = ",\n".join(f"{n} as ({CTES[n][1]}\n)" for n in order)
     body = body.strip()
     if not parts:
-        return "with " + body[1:].strip() if body.startswith(",") else body
-    return f"with {parts}\n{body}" if not body.startswith(",") else f"with {parts}{body}"
+        return "with recursive " + body[1:].strip() if body.startswith(",") else body
+    return f"with recursive {parts}\n{body}" if not body.startswith(",") else f"with recursive {parts}{body}"

@@ -139,6 +139,43 @@ def test_mann_whitney_laws_meet_at_the_border(monkeypatch, spark):
     n, m = 6.0, 400.0
     for u in (700.0, 1100.0, 1500.0):
         exact = p(u, n, m)
-        monkeypatch.setattr(special, "EXACT_CELLS", 10)
+        monkeypatch.setattr(special, "EXACT_SIDE", 0)
         assert abs(exact - p(u, n, m)) < 0.012
         monkeypatch.undo()
+
+
+def test_exact_laws_equal_enumeration():
+    """All orders of two samples of up to eight values: every distance and every rank sum."""
+    import itertools
+    from collections import Counter
+
+    import numpy as np
+
+    for n, m in itertools.product(range(1, 9), repeat=2):
+        places = np.array(list(itertools.combinations(range(n + m), n)))
+        mine = np.zeros((len(places), n + m), np.int64)
+        np.put_along_axis(mine, places, 1, axis=1)
+        gaps = np.abs(np.cumsum(mine * m - (1 - mine) * n, axis=1)).max(axis=1)
+        for gap, _ in Counter(gaps.tolist()).items():
+            assert special.ks_exact(gap / (n * m), n, m) == pytest.approx((gaps >= gap).mean(), abs=1e-12)
+        wins = places.sum(axis=1) - n * (n - 1) // 2
+        for u in range(n * m + 1):
+            assert special.mann_whitney_exact(u, n, m) == pytest.approx((wins >= u).mean(), abs=1e-12)
+
+
+def test_exact_laws_of_uneven_and_large_samples():
+    # One value above all others, and a value in the middle; sizes no table would hold.
+    assert special.mann_whitney_exact(10**9, 1, 10**9) == pytest.approx(1 / (10**9 + 1), rel=1e-12)
+    assert special.mann_whitney_exact(4 * 10**9, 8, 10**9) == pytest.approx(0.5, abs=1e-6)
+    assert special.mann_whitney_exact(2 * 10**6 - 3, 2, 10**6) == pytest.approx(6 / math.comb(10**6 + 2, 2), rel=1e-12)
+    # Known limit: 1.3581 / sqrt(nm / (n + m)) is the 5 % point for large samples.
+    assert special.ks_exact(round(1.3581 * (2 / 2000) ** 0.5 * 2000) / 2000, 2000, 2000) == pytest.approx(0.05, abs=0.004)
+
+
+def test_ks_of_small_samples_is_exact(spark):
+    left = spark.createDataFrame([(float(x),) for x in (1, 2, 3, 4)], "v double")
+    right = spark.createDataFrame([(float(x),) for x in (5, 6, 7)], "v double")
+    row = drift.ks_drift(left, right, ["v"]).first()
+    assert row.ks_statistic == 1.0 and row.ks_pvalue == pytest.approx(2 / 35)
+    many = spark.range(10_001).select(F.col("id").cast("double").alias("v"))
+    assert drift.ks_drift(many, right, ["v"]).first().ks_pvalue == pytest.approx(0.0050, abs=0.002)
