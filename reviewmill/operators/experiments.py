@@ -217,15 +217,18 @@ def analyze(metrics: DataFrame, test_id: str, min_sample: int = 1000, alpha: flo
 
 def test_summary(metrics: DataFrame, test_id: str, split: float = 0.5) -> DataFrame:
     """Assigned users in total and per group, and the metrics seen."""
-    users = metrics.groupBy("user_id", "group").agg(F.collect_set("metric").alias("__m"))
-    return users.agg(
+    users = metrics.select("user_id", "group").distinct()
+    # Names meet once each: the number of metrics bounds the list, not the number of users.
+    names = metrics.select("metric").distinct().agg(
+        F.concat_ws(",", F.array_sort(F.collect_list("metric"))).alias("metrics_tracked")
+    )
+    return attach_totals(users.agg(
         F.lit(test_id).alias("test_id"),
         F.lit(float(split)).alias("traffic_split"),
         F.count(F.lit(1)).alias("total_assignments"),
         F.count_if(F.col("group") == "A").alias("group_a_count"),
         F.count_if(F.col("group") == "B").alias("group_b_count"),
-        F.concat_ws(",", F.array_sort(F.array_distinct(F.flatten(F.collect_set("__m"))))).alias("metrics_tracked"),
-    )
+    ), names)
 
 
 def close_test(tests: DataFrame, results: DataFrame, test_id: str, stopped_at: str) -> DataFrame:

@@ -190,6 +190,16 @@ def attach_user_product_stats(spark, sf_dir):
     return rounded(out, "user_avg_rating", "product_avg_rating")
 
 
+@catalog.add("attach_product_stats_small", sql("""
+select r.*, product_review_count, round(product_avg_rating, 6) as product_avg_rating
+from reviews r left join product_stats p on r.asin is not distinct from p.asin""", "product_stats"))
+def attach_product_stats_small(spark, sf_dir):
+    """The product table is counted and sent to every executor if it has at most 100 000 rows, else shuffled."""
+    df = tv.reviews(spark, sf_dir)
+    products = enrich.product_stats(df).select("asin", "product_review_count", "product_avg_rating")
+    return rounded(attach_stats(df, products, "asin", null_safe=True, broadcast_rows=100_000), "product_avg_rating")
+
+
 @catalog.add("rating_zscores", sql("""
 select "reviewerID", asin, doc_id, review_timestamp, round((overall - (select avg(overall) from reviews))
   / (select stddev_samp(overall) from reviews), 6) as rating_zscore from reviews""", "reviews"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.operators import factors, layout, recommend
@@ -10,7 +13,7 @@ from reviewmill.operators.metrics import regression_metrics
 from reviewmill.plans.etl_queries import TIES_DESC
 from reviewmill.plans.registry import Catalog, r6, rounded
 from reviewmill.plans.views import BUCKET, sql
-from reviewmill.session import materialise
+from reviewmill.session import materialise, shared_folder
 from reviewmill.sources import testviews as tv
 
 catalog = Catalog()
@@ -327,6 +330,31 @@ def als_metrics(spark, sf_dir):
     return regression_metrics(factors.predict(model, test), "overall")
 
 
+@catalog.add("als_reloaded", sql("""
+select 'users' as part, count(distinct "reviewerID") as rows, 0::bigint as changed from reviews where "reviewerID" is not null
+union all select 'items', count(distinct asin), 0 from reviews where asin is not null
+union all select 'predictions', count(*), 0 from (select distinct "reviewerID", asin from reviews
+  where "reviewerID" is not null and asin is not null)""", "reviews"))
+def als_reloaded(spark, sf_dir):
+    """A factor model is saved with its id maps and read back: rows of each part, and how many differ from the model in memory."""
+    ratings = materialise(recommend.interactions(tv.reviews(spark, sf_dir), ORDER))
+    model = factors.train_als(factors.index_ratings(ratings), rank=10, iters=3, reg=0.1)
+    # Trained once: what is compared comes from stored tables.
+    model = factors.Factors(materialise(model.users), materialise(model.items), model.rank)
+    path = f"{shared_folder(spark)}/models/{uuid.uuid4().hex}"
+    factors.save_factors(model, path)
+    loaded = factors.load_factors(spark, path)
+
+    def part(name: str, before: DataFrame, after: DataFrame) -> DataFrame:
+        gone = before.select(*sorted(before.columns)).exceptAll(after.select(*sorted(before.columns)))
+        rows, changed = after.agg(F.count("*").alias("rows")), gone.agg(F.count("*").alias("changed"))
+        return attach_totals(rows, changed).select(F.lit(name).alias("part"), "rows", "changed")
+
+    return part("users", model.users, loaded.users).unionByName(part("items", model.items, loaded.items)).unionByName(
+        part("predictions", factors.predict(model, ratings), factors.predict(loaded, ratings))
+    )
+
+
 @catalog.add("als_topk")
 def als_topk(spark, sf_dir):
     return factors.recommend_all(_als(spark, sf_dir)[0], 10)
