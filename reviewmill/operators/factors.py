@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -12,8 +13,11 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
 )
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.ml.regression import FMRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -23,11 +27,13 @@ from pyspark.sql import types as T
 from reviewmill.operators import neighbours
 from reviewmill.operators.joins import attach_totals
 from reviewmill.operators.ordered import running_totals
-from reviewmill.operators.recommend import LIKED, index_ids, interactions
+from reviewmill.operators.recommend import LIKED, index_ids, interactions, split_point
 from reviewmill.session import materialise
 
 UNKNOWN_RATING = 3.0
 INT_LIMIT = 2**31 - 1
+#: A factorisation machine is one vector on the driver: (users + items) x (rank + 1) numbers, refused above this (320 MB).
+FM_NUMBERS = 40_000_000
 
 
 @dataclass
@@ -53,6 +59,7 @@ class Factors:
     users: DataFrame  # reviewerID, user, vec
     items: DataFrame  # asin, item, vec
     rank: int
+    als: ALSModel | None = None  # the MLlib model that the vectors come from, if there is one
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -78,7 +85,8 @@ def als_factors(model: ALSModel, indexed: Indexed) -> Factors:
         vectors = factors.select(F.col("id").cast("long").alias(index), F.col("features").cast("array<double>").alias("vec"))
         return ids.join(vectors, index)
 
-    return Factors(side(model.userFactors, indexed.users, "user"), side(model.itemFactors, indexed.items, "item"), model.rank)
+    users, items = side(model.userFactors, indexed.users, "user"), side(model.itemFactors, indexed.items, "item")
+    return Factors(users, items, model.rank, model)
 
 
 def train_als(
@@ -130,8 +138,25 @@ def _named(ranked: DataFrame, model: Factors) -> DataFrame:
     return ranked.join(users, "id").join(items, "partner").select("reviewerID", "asin", "score", "rank")
 
 
+def _listed(model: Factors, lists: DataFrame) -> DataFrame:
+    best = lists.select(F.col("user").cast("long").alias("id"), F.posexplode("recommendations").alias("__at", "__r"))
+    return _named(
+        best.select(
+            "id", F.col("__r.item").cast("long").alias("partner"), F.col("__r.rating").cast("double").alias("score"),
+            (F.col("__at") + 1).alias("rank"),
+        ),
+        model,
+    )
+
+
 def recommend_all(model: Factors, k: int) -> DataFrame:
-    """(reviewerID, asin, score, rank): the k best items of every user, by pruned block search."""
+    """(reviewerID, asin, score, rank): the k best items of every user.
+
+    MLlib's blocked product for an ALS model; a pruned block search for vectors without one (SVD, a
+    model read back).
+    """
+    if model.als is not None:
+        return _listed(model, model.als.recommendForAllUsers(k))
     users = model.users.select(F.col("user").alias("id"), "vec")
     items = model.items.select(F.col("item").alias("id"), "vec")
     return _named(neighbours.top_inner(users, items, k), model)
@@ -140,6 +165,8 @@ def recommend_all(model: Factors, k: int) -> DataFrame:
 def recommend_for(model: Factors, users: DataFrame, k: int) -> DataFrame:
     """The same for the given users (column reviewerID) only."""
     asked = model.users.join(users.select("reviewerID").distinct(), "reviewerID", "left_semi")
+    if model.als is not None:
+        return _listed(model, model.als.recommendForUserSubset(asked.select(F.col("user").cast("int")), k))
     return recommend_all(Factors(asked, model.items, model.rank), k)
 
 
@@ -149,6 +176,63 @@ def embeddings(vectors: DataFrame, ids: DataFrame, key: str, rank: int) -> DataF
     return ids.select(key).join(vectors.select(key, "vec"), key, "left").withColumn("vec", F.coalesce("vec", zero))
 
 
+# --- factorisation machine ------------------------------------------------------------------
+
+
+@dataclass
+class Machine:
+    """A rating is the mean, plus a bias of either side, plus the inner product of their embeddings."""
+
+    users: DataFrame  # reviewerID, user, bias, vec
+    items: DataFrame  # asin, item, bias, vec
+    mean: float
+    rank: int
+
+
+def train_fm(
+    indexed: Indexed, rank: int = 16, iters: int = 100, step: float = 0.05, reg: float = 1e-5, seed: int = 42
+) -> Machine:
+    """Biases and embeddings by squared error: a factorisation machine over sparse user and item indicators.
+
+    MLlib holds the coefficients as one vector on the driver and sends it to the tasks every round, so the fit
+    is refused above ``FM_NUMBERS`` of them; ALS has no such bound.
+    """
+    spark = indexed.ratings.sparkSession
+    sizes = indexed.users.count(), indexed.items.count()
+    if not all(sizes):
+        raise ValueError("no ratings to fit")
+    if sum(sizes) * (rank + 1) > FM_NUMBERS:
+        raise ValueError(f"{sum(sizes)} ids at rank {rank} are too many for one vector; use ALS")
+    # The encoder learns the number of slots from the largest ids, which are in the ratings.
+    coded = indexed.ratings.select(F.col("user").cast("double"), F.col("item").cast("double"), "overall")
+    hot = OneHotEncoder(inputCols=["user", "item"], outputCols=["__u", "__i"], dropLast=False).fit(coded).transform(coded)
+    ready = materialise(
+        VectorAssembler(inputCols=["__u", "__i"], outputCol="features").transform(hot).select("features", "overall")
+    )
+    fitted = FMRegressor(
+        featuresCol="features", labelCol="overall", factorSize=rank, maxIter=iters, stepSize=step, regParam=reg, seed=seed,
+        tol=1e-5,
+    ).fit(ready)
+    bias, vectors = fitted.linear.toArray(), fitted.factors.toArray()
+
+    def side(ids: DataFrame, index: str, start: int, count: int) -> DataFrame:
+        part = slice(start, start + count)
+        table = pd.DataFrame({index: np.arange(count), "bias": bias[part], "vec": list(map(list, vectors[part]))})
+        return ids.join(spark.createDataFrame(table, f"{index} long, bias double, vec array<double>"), index)
+
+    users, items = side(indexed.users, "user", 0, sizes[0]), side(indexed.items, "item", sizes[0], sizes[1])
+    return Machine(materialise(users), materialise(items), float(fitted.intercept), rank)
+
+
+def predict_fm(model: Machine, pairs: DataFrame, unknown: float = UNKNOWN_RATING) -> DataFrame:
+    """Adds ``prediction`` to (reviewerID, asin) pairs; a pair with an unknown side gets ``unknown``."""
+    users = model.users.select("reviewerID", F.col("bias").alias("__bu"), F.col("vec").alias("__u"))
+    items = model.items.select("asin", F.col("bias").alias("__bi"), F.col("vec").alias("__v"))
+    joined = pairs.join(users, "reviewerID", "left").join(items, "asin", "left")
+    rating = F.lit(model.mean) + F.col("__bu") + F.col("__bi") + dot(F.col("__u"), F.col("__v"))
+    return joined.withColumn("prediction", F.coalesce(rating, F.lit(unknown))).drop("__bu", "__u", "__bi", "__v")
+
+
 # --- truncated SVD --------------------------------------------------------------------------
 
 
@@ -185,17 +269,19 @@ def _orthonormal(vectors: DataFrame, width: int) -> tuple[DataFrame, int]:
     return _times(vectors, basis[:, keep] / np.sqrt(values[keep])), int(keep.sum())
 
 
-def _multiply(ratings: DataFrame, vectors: DataFrame, inner: str, outer: str, width: int) -> DataFrame:
-    """Sparse matrix times dense rows: one join on the inner index, one sum per outer index."""
-    joined = ratings.join(vectors, inner)
-    sums = joined.groupBy(outer).agg(
-        *[F.sum(F.col("overall") * F.col("vec")[j]).alias(f"__{j}") for j in range(width)]
-    )
-    return sums.select(outer, F.array(*[F.col(f"__{j}") for j in range(width)]).alias("vec"))
+def _multiply(ratings: DataFrame, vectors: DataFrame, inner: str, outer: str) -> DataFrame:
+    """Sparse matrix times dense rows: one join on the inner index, one weighted vector sum per outer index.
+
+    MLlib's vector sum has partial sums on the map side, so a popular row is reduced before the shuffle; its
+    weights, the ratings, must not be negative.
+    """
+    joined = ratings.join(vectors, inner).select(outer, "overall", array_to_vector("vec").alias("vec"))
+    sums = joined.groupBy(outer).agg(Summarizer.sum(F.col("vec"), F.col("overall")).alias("vec"))
+    return sums.select(outer, vector_to_array("vec").alias("vec"))
 
 
 def train_svd(indexed: Indexed, k: int = 50, oversample: int = 10, rounds: int = 4, seed: int = 42) -> tuple[Factors, list[float]]:
-    """(factors, singular values) of the rating matrix with missing entries as 0.
+    """(factors, singular values) of the rating matrix with missing entries as 0; ratings are not negative.
 
     Randomised subspace iteration: the big matrices stay tables, only a
     (k + oversample)-sized square reaches the driver.
@@ -208,10 +294,10 @@ def train_svd(indexed: Indexed, k: int = 50, oversample: int = 10, rounds: int =
     )
     right, width = _orthonormal(indexed.items.select("item", start.alias("vec")), width)
     for _ in range(rounds):
-        left, width = _orthonormal(materialise(_multiply(entries, right, "item", "user", width)), width)
-        right, width = _orthonormal(materialise(_multiply(entries, left, "user", "item", width)), width)
+        left, width = _orthonormal(materialise(_multiply(entries, right, "item", "user")), width)
+        right, width = _orthonormal(materialise(_multiply(entries, left, "user", "item")), width)
     right = materialise(right)
-    left = materialise(_multiply(entries, right, "item", "user", width))
+    left = materialise(_multiply(entries, right, "item", "user"))
     values, basis = np.linalg.eigh(_gram(left, width))
     top = np.argsort(-values)[:k]
     singular = [float(v) for v in np.sqrt(np.maximum(values[top], 0.0))]
@@ -242,6 +328,16 @@ def tune_svd(indexed: Indexed, test: DataFrame, sizes: Sequence[int] = (10, 25,
 # --- two-stage neural model -----------------------------------------------------------------
 
 
+@dataclass
+class Step:
+    """One training step of the perceptron; ``kept`` marks a new least validation loss."""
+
+    step: int
+    train_loss: float
+    valid_loss: float
+    kept: bool
+
+
 @dataclass
 class Neural:
     """ALS embeddings and a perceptron over [user vector, item vector]."""
@@ -250,17 +346,71 @@ class Neural:
     net: MultilayerPerceptronClassificationModel
     seen: DataFrame  # reviewerID, asin
     popular: DataFrame  # asin, rank: all products by popularity
+    history: list[Step]  # one per training step
+
+
+def log_loss(net: MultilayerPerceptronClassificationModel, part: DataFrame) -> float:
+    """Mean cross-entropy of the 0/1 ``label``; infinite if there is no row."""
+    sure = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
+    loss = net.transform(part).agg(F.avg(-F.log(F.greatest(sure, F.lit(1e-15))))).first()[0]
+    return math.inf if loss is None else float(loss)
+
+
+def fit_net(
+    train: DataFrame,
+    valid: DataFrame,
+    layers: Sequence[int],
+    rounds: int = 5,
+    most: int = 20,
+    patience: int = 3,
+    least_gain: float = 1e-4,
+    seed: int = 42,
+    start: MultilayerPerceptronClassificationModel | None = None,
+    path: str | None = None,
+) -> tuple[MultilayerPerceptronClassificationModel, list[Step]]:
+    """(net of the step with the least validation loss, all steps), stopped early.
+
+    A step is ``rounds`` L-BFGS rounds from the weights of the step before. Training ends after ``most`` steps, or
+    once ``patience`` steps in a row have not lowered the validation loss by ``least_gain``. With ``path`` the
+    net of every step is saved under ``step=n``; ``start`` goes on from a saved one.
+    Without validation rows nothing is ever lower, so the first step stays.
+    """
+    net, best, steps = start, None, []
+    least, idle = math.inf, 0
+    if start is not None:
+        best, least = start, log_loss(start, valid)
+    for number in range(1, most + 1):
+        trainer = MultilayerPerceptronClassifier(
+            layers=list(layers), maxIter=rounds, seed=seed, featuresCol="features", labelCol="label"
+        )
+        if net is not None:
+            trainer.setInitialWeights(net.weights)
+        net = trainer.fit(train)
+        loss = log_loss(net, valid)
+        better = best is None or loss < least - least_gain
+        steps.append(Step(number, log_loss(net, train), loss, better))
+        if path:
+            net.write().overwrite().save(f"{path}/step={number}")
+        if better:
+            best, least, idle = net, loss, 0
+        else:
+            idle += 1
+        if idle >= patience:
+            break
+    return best, steps
 
 
 def train_ncf(
     df: DataFrame,
-    rank: int = 8,
+    rank: int = 64,
     layers: Sequence[int] = (128, 64, 32),
-    iters: int = 30,
+    most: int = 20,
+    patience: int = 3,
     seed: int = 42,
     order: Sequence[str] = ("review_timestamp",),
+    path: str | None = None,
 ) -> Neural:
-    """Embeddings by ALS on the 0/1 target, then the perceptron on the same pairs."""
+    """Embeddings by ALS on the 0/1 target, then the perceptron on the same pairs, a tenth of which says when to stop."""
     df = materialise(df.select(*dict.fromkeys(["reviewerID", "asin", "overall", *order])))
     ratings = materialise(
         interactions(df, order).withColumn("label", F.when(F.col("overall") >= LIKED, 1.0).otherwise(0.0))
@@ -268,14 +418,18 @@ def train_ncf(
     indexed = index_ratings(ratings.select("reviewerID", "asin", F.col("label").alias("overall")))
     factors = train_als(indexed, rank=rank, iters=5, seed=seed)
     factors = Factors(materialise(factors.users), materialise(factors.items), rank)
-    train = materialise(_pairs(ratings.select("reviewerID", "asin", "label"), factors).select("features", "label"))
-    net = MultilayerPerceptronClassifier(
-        layers=[2 * rank, *layers, 2], maxIter=iters, seed=seed, featuresCol="features", labelCol="label"
-    ).fit(train)
+    held = (split_point(["reviewerID", "asin"], seed) >= 900).alias("held")
+    pairs = materialise(
+        _pairs(ratings.select("reviewerID", "asin", "label"), factors).select("features", "label", held)
+    )
+    net, history = fit_net(
+        pairs.filter("not held"), pairs.filter("held"), [2 * rank, *layers, 2], most=most, patience=patience, seed=seed,
+        path=path,
+    )
     counts = df.groupBy("asin").agg(F.count(F.lit(1)).alias("n"), F.avg("overall").alias("mean"))
     order = [F.col("n").desc(), F.col("mean").desc(), F.col("asin").asc()]
     popular = materialise(running_totals(counts, [], order, {"rank": F.lit(1)}).select("asin", F.col("rank").cast("int")))
-    return Neural(factors, net, ratings.select("reviewerID", "asin"), popular)
+    return Neural(factors, net, ratings.select("reviewerID", "asin"), popular, history)
 
 
 def _pairs(pairs: DataFrame, factors: Factors) -> DataFrame:
@@ -287,8 +441,6 @@ def _pairs(pairs: DataFrame, factors: Factors) -> DataFrame:
 
 def ncf_predict(model: Neural, pairs: DataFrame) -> DataFrame:
     """Adds ``probability`` of a positive rating; a pair with an unknown side gets 0.5."""
-    from pyspark.ml.functions import vector_to_array
-
     known = model.net.transform(_pairs(pairs.select("reviewerID", "asin").distinct(), model.factors))
     scored = known.select("reviewerID", "asin", vector_to_array("probability")[1].alias("__p"))
     return pairs.join(scored, ["reviewerID", "asin"], "left").withColumn(
@@ -352,4 +504,5 @@ def load_neural(spark, path: str) -> Neural:
         MultilayerPerceptronClassificationModel.load(f"{path}/net"),
         spark.read.parquet(f"{path}/seen"),
         spark.read.parquet(f"{path}/popular"),
+        [],
     )

@@ -72,7 +72,7 @@ def test_svd_matches_numpy(ratings):
 
 
 def test_neural_scores_and_seen_items(spark, ratings, tmp_path):
-    model = factors.train_ncf(ratings, rank=4, layers=(8, 4), iters=5)
+    model = factors.train_ncf(ratings, rank=4, layers=(8, 4), most=2)
     users = spark.createDataFrame([("U00",), ("U01",), ("nobody",)], "reviewerID string")
     every = ratings.select("reviewerID").distinct().crossJoin(ratings.select("asin").distinct())
     recs = factors.ncf_recommend(model, every, users, 30).cache()
@@ -96,3 +96,53 @@ def test_route_sends_groups_apart(spark, ratings):
     random = [r for r in out if r.source == "random"]
     assert {r.reviewerID for r in random} == {"U00"} and len({r.asin for r in random}) == 5
     assert {r.reviewerID for r in out if r.source == "model"} == {"U01", "U02"}
+
+
+def test_machine_has_biases(spark, ratings, als):
+    from reviewmill.operators.metrics import regression_metrics
+
+    model = factors.train_fm(factors.index_ratings(ratings.select("reviewerID", "asin", "overall")), rank=4)
+    fitted = regression_metrics(factors.predict_fm(model, ratings), "overall").first().rmse
+    spread = ratings.agg(F.stddev_pop("overall")).first()[0]
+    assert fitted < spread
+    user, item = model.users.filter("reviewerID = 'U03'").first(), model.items.filter("asin = 'I07'").first()
+    pairs = spark.createDataFrame([("U03", "I07"), ("nobody", "I07"), (None, None)], "reviewerID string, asin string")
+    got = {r.reviewerID: r.prediction for r in factors.predict_fm(model, pairs).collect()}
+    want = model.mean + user.bias + item.bias + float(np.dot(user.vec, item.vec))
+    assert got["U03"] == pytest.approx(want) and got["nobody"] == got[None] == 3.0
+
+
+def test_machine_refuses_what_does_not_fit(ratings, monkeypatch):
+    monkeypatch.setattr(factors, "FM_NUMBERS", 100)
+    with pytest.raises(ValueError, match="too many"):
+        factors.train_fm(factors.index_ratings(ratings.select("reviewerID", "asin", "overall")), rank=4)
+
+
+def _points(spark, rows):
+    from pyspark.ml.linalg import Vectors
+
+    return spark.createDataFrame([(Vectors.dense(x), float(y)) for x, y in rows], ["features", "label"])
+
+
+def test_net_stops_and_goes_on(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(300, 2))
+    clear = [(list(p), p[0] * p[1] > 0) for p in points]
+    noise = [(list(p), rng.integers(2)) for p in points]
+    net, steps = factors.fit_net(
+        _points(spark, clear[:200]), _points(spark, clear[200:]), [2, 6, 2], most=4, path=str(tmp_path / "net")
+    )
+    assert [s.step for s in steps] == list(range(1, len(steps) + 1)) and steps[0].kept
+    kept = [s.valid_loss for s in steps if s.kept]
+    assert kept == sorted(kept, reverse=True)
+    assert factors.log_loss(net, _points(spark, clear[200:])) == pytest.approx(min(kept))
+    # A saved step gives the same loss, and training goes on from it without losing what it had.
+    from pyspark.ml.classification import MultilayerPerceptronClassificationModel as Net
+
+    last = Net.load(str(tmp_path / "net" / f"step={len(steps)}"))
+    assert factors.log_loss(last, _points(spark, clear[200:])) == pytest.approx(steps[-1].valid_loss)
+    more, _ = factors.fit_net(_points(spark, clear[:200]), _points(spark, clear[200:]), [2, 6, 2], most=1, start=last)
+    assert factors.log_loss(more, _points(spark, clear[200:])) <= steps[-1].valid_loss
+    # Labels without meaning are learnt by heart only: the validation loss rises and training stops.
+    _, idle = factors.fit_net(_points(spark, noise[:200]), _points(spark, noise[200:]), [2, 16, 2], most=12, patience=2)
+    assert len(idle) < 12 and not any(s.kept for s in idle[-2:])
