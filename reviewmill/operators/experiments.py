@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from reviewmill.functions import special
 from reviewmill.operators import ordered
 from reviewmill.operators.joins import attach_totals
+from reviewmill.session import materialise
+from reviewmill.sources import writers
 
 SMALL_SAMPLE = 30  # below this in either arm the rank test is used
 
@@ -246,3 +248,20 @@ def close_test(tests: DataFrame, results: DataFrame, test_id: str, stopped_at: s
         .withColumn("status", F.when(closing, "stopped").otherwise(F.col("status")))
         .drop("__verdict")
     )
+
+
+def close_saved_test(metrics: DataFrame, path: str, test_id: str, stopped_at: str, min_sample: int = 1000) -> int:
+    """Closes a test in the versioned table of tests at ``path``: the number of the version that says so.
+
+    ``metrics`` is the test's own metric log; its verdict is worked out once. A writer that changes the table
+    meanwhile is not overwritten: the closing is applied to the newest version again.
+    """
+    spark = metrics.sparkSession
+    results = materialise(analyze(metrics, test_id, min_sample).select("test_id", "overall_status"))
+    while True:
+        version = writers.versions(spark, path)[-1]
+        closed = close_test(writers.read_table(spark, path, version), results, test_id, stopped_at)
+        try:
+            return writers.write_table(closed, path, based_on=version)
+        except writers.Conflict:
+            continue

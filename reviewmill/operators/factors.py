@@ -190,7 +190,7 @@ class Machine:
 
 
 def train_fm(
-    indexed: Indexed, rank: int = 16, iters: int = 100, step: float = 0.05, reg: float = 1e-5, seed: int = 42
+    indexed: Indexed, rank: int = 16, iters: int = 100, step: float = 0.05, reg: float = 0.2, seed: int = 42
 ) -> Machine:
     """Biases and embeddings by squared error: a factorisation machine over sparse user and item indicators.
 
@@ -203,8 +203,11 @@ def train_fm(
         raise ValueError("no ratings to fit")
     if sum(sizes) * (rank + 1) > FM_NUMBERS:
         raise ValueError(f"{sum(sizes)} ids at rank {rank} are too many for one vector; use ALS")
+    # Ratings less their mean, so that the penalty does not pull the mean to zero.
+    centre = float(indexed.ratings.agg(F.avg("overall")).first()[0])
     # The encoder learns the number of slots from the largest ids, which are in the ratings.
-    coded = indexed.ratings.select(F.col("user").cast("double"), F.col("item").cast("double"), "overall")
+    rating = (F.col("overall") - centre).alias("overall")
+    coded = indexed.ratings.select(F.col("user").cast("double"), F.col("item").cast("double"), rating)
     hot = OneHotEncoder(inputCols=["user", "item"], outputCols=["__u", "__i"], dropLast=False).fit(coded).transform(coded)
     ready = materialise(
         VectorAssembler(inputCols=["__u", "__i"], outputCol="features").transform(hot).select("features", "overall")
@@ -221,7 +224,7 @@ def train_fm(
         return ids.join(spark.createDataFrame(table, f"{index} long, bias double, vec array<double>"), index)
 
     users, items = side(indexed.users, "user", 0, sizes[0]), side(indexed.items, "item", sizes[0], sizes[1])
-    return Machine(materialise(users), materialise(items), float(fitted.intercept), rank)
+    return Machine(materialise(users), materialise(items), centre + float(fitted.intercept), rank)
 
 
 def predict_fm(model: Machine, pairs: DataFrame, unknown: float = UNKNOWN_RATING) -> DataFrame:

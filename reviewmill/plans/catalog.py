@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from reviewmill.plans import (
+    check_queries,
     etl_queries,
     experiment_queries,
     feature_queries,
@@ -21,6 +22,7 @@ MODULES = (
     experiment_queries,
     model_queries,
     source_queries,
+    check_queries,
 )
 
 

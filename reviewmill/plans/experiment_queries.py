@@ -12,6 +12,7 @@ from reviewmill.plans.registry import Catalog, rounded
 from reviewmill.plans.views import BUCKET, sql
 from reviewmill.session import shared_folder
 from reviewmill.sources import testviews as tv
+from reviewmill.sources import writers
 from reviewmill.streaming import experiments as streams
 
 catalog = Catalog()
@@ -254,6 +255,26 @@ def ab_close_test(spark, sf_dir):
     return experiments.close_test(tests, results, "ranker_A", "2024-02-01")
 
 
+@catalog.add("ab_close_saved_test", sql(_TESTED + _RANKED + """
+select tp.metric as test_id, case when tp.metric = 'value' then 'stopped' else 'active' end as status,
+  case when tp.metric = 'value' then '2024-02-01' end as stopped_at,
+  case when tp.metric <> 'value' then null when least(na, nb) < 5 then 'insufficient_data'
+    when case when least(na, nb) < 30 then up.p else tp.p end < 0.05 then 'significant_results'
+    else 'no_significant_results' end as overall_status
+from tp join up on tp.metric = up.metric""", "ab_metrics"))
+def ab_close_saved_test(spark, sf_dir):
+    """One test per metric in a versioned table; the test of ``value`` is closed with the verdict of its own rows."""
+    metrics = tv.ab_metrics(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    opened = metrics.select(F.col("metric").alias("test_id")).distinct().select(
+        "test_id", F.lit("active").alias("status"), none.alias("stopped_at"), none.alias("overall_status")
+    )
+    path = f"{shared_folder(spark)}/tests/{uuid.uuid4().hex}"
+    writers.write_table(opened, path)
+    experiments.close_saved_test(metrics.filter("metric = 'value'"), path, "value", "2024-02-01", min_sample=5)
+    return writers.read_table(spark, path)
+
+
 def _stream_folders(spark) -> tuple[str, str]:
     base = f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}"
     return f"{base}/out", f"{base}/state"
@@ -282,3 +303,24 @@ select date_trunc('day', ts)::timestamp as window_start, count(value) as n, roun
   round(quantile_cont(value, 0.95), 6) as p95, round(quantile_cont(value, 0.99), 6) as p99 from events group by 1"""))
 def value_percentiles(spark, sf_dir):
     return rounded(streams.value_percentiles(tv.table(spark, sf_dir, "events")), "mean", "p95", "p99")
+
+
+@catalog.add("stream_value_sketches", sql("""
+select epoch(date_trunc('month', ts))::bigint as month_start, count(value) as n, round(avg(value), 6) as mean,
+  true as p95_within, true as p99_within from events group by 1"""))
+def stream_value_sketches(spark, sf_dir):
+    """Daily sketches of the stream merged into months; the marks must keep their rank bound on all rows of the month."""
+    table = streams.value_sketches_to_end(spark, sf_dir, *_stream_folders(spark), pattern="events.parquet")
+    month = F.unix_seconds(F.date_trunc("month", F.timestamp_seconds("window_start")))
+    merged = streams.merged_percentiles(table.withColumn("month_start", month), ["month_start"])
+    rows = tv.table(spark, sf_dir, "events").select(
+        F.unix_seconds(F.date_trunc("month", F.col("ts").cast("timestamp"))).alias("month_start"), "value")
+    told = rows.join(merged.select("month_start", "p95", "p99"), "month_start")
+    bound = streams.SKETCH_RANK_ERROR
+
+    def within(mark: str, share: float):
+        below, upto = F.avg((F.col("value") < F.col(mark)).cast("int")), F.avg((F.col("value") <= F.col(mark)).cast("int"))
+        return ((below <= share + bound) & (upto >= share - bound)).alias(f"{mark}_within")
+
+    ranks = told.filter("value is not null").groupBy("month_start").agg(within("p95", 0.95), within("p99", 0.99))
+    return rounded(merged.drop("p95", "p99").join(ranks, "month_start"), "mean")

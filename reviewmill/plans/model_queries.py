@@ -17,7 +17,7 @@ catalog = Catalog()
 NUMERIC = ("word_count", "char_count", "avg_word_length", "text_complexity", "sentiment_intensity")
 
 
-def _labelled(spark, sf_dir):
+def labelled(spark, sf_dir):
     """Text features and language of the labelled documents; label = quality."""
     labels = tv.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     # Only labelled texts are looked at. Written once: every fit below passes over it many times.
@@ -25,8 +25,8 @@ def _labelled(spark, sf_dir):
     return materialise(tv.text_columns(docs, "doc_id", "lang", "label"))
 
 
-def _parts(spark, sf_dir):
-    return recommend.hash_split(_labelled(spark, sf_dir), ["doc_id"])
+def parts(spark, sf_dir):
+    return recommend.hash_split(labelled(spark, sf_dir), ["doc_id"])
 
 
 @catalog.add("model_frame", sql("""
@@ -106,13 +106,13 @@ def roc_auc(spark, sf_dir):
 
 @catalog.add("model_compare")
 def model_compare(spark, sf_dir):
-    train, test = _parts(spark, sf_dir)
+    train, test = parts(spark, sf_dir)
     return models.train_all(train, test, "classification", NUMERIC, ["lang"])[1]
 
 
 @catalog.add("best_model")
 def best_model(spark, sf_dir):
-    train, test = _parts(spark, sf_dir)
+    train, test = parts(spark, sf_dir)
     results = models.train_all(train, test, "classification", NUMERIC, ["lang"])[1]
     return models.best_model(results, "classification")
 
@@ -130,7 +130,7 @@ def regression_compare(spark, sf_dir):
 
 @catalog.add("feature_importance")
 def feature_importance(spark, sf_dir):
-    train, _ = _parts(spark, sf_dir)
+    train, _ = parts(spark, sf_dir)
     forest = models.classifiers()["random_forest"]
     fitted = Pipeline(stages=[*models.feature_pipeline(NUMERIC, ["lang"]), forest]).fit(train)
     names = models.feature_names(fitted.transform(train), "__raw")
@@ -140,14 +140,14 @@ def feature_importance(spark, sf_dir):
 @catalog.add("learning_curve")
 def learning_curve(spark, sf_dir):
     est = LogisticRegression(labelCol="label", maxIter=20)
-    return models.learning_curve(_labelled(spark, sf_dir), est, "classification", NUMERIC, ["doc_id"],
+    return models.learning_curve(labelled(spark, sf_dir), est, "classification", NUMERIC, ["doc_id"],
                                  )
 
 
 @catalog.add("cv_summary")
 def cv_summary(spark, sf_dir):
     est = LogisticRegression(labelCol="label", maxIter=20)
-    return models.cv_summary(_labelled(spark, sf_dir), est, "classification", NUMERIC, ["doc_id"], ["lang"])
+    return models.cv_summary(labelled(spark, sf_dir), est, "classification", NUMERIC, ["doc_id"], ["lang"])
 
 
 @catalog.add("stratified_folds", """
@@ -164,13 +164,13 @@ def stratified_folds(spark, sf_dir):
 
 @catalog.add("model_test")
 def model_test(spark, sf_dir):
-    train, test = _parts(spark, sf_dir)
+    train, test = parts(spark, sf_dir)
     pipeline = Pipeline(stages=[*models.feature_pipeline(NUMERIC, ["lang"]), LogisticRegression(labelCol="label", maxIter=20)])
     return models.model_test(pipeline, train, test, "classification")
 
 
 @catalog.add("prediction_distribution")
 def prediction_distribution(spark, sf_dir):
-    train, test = _parts(spark, sf_dir)
+    train, test = parts(spark, sf_dir)
     pipeline = Pipeline(stages=[*models.feature_pipeline(NUMERIC), LogisticRegression(labelCol="label", maxIter=20)])
     return models.prediction_distribution(pipeline.fit(train).transform(test), "classification")

@@ -245,9 +245,7 @@ select concat('A', lpad(cast(c_custkey as varchar), 9, '0')) as "reviewerID", 's
 from customer left join own on own."reviewerID" = concat('A', lpad(cast(c_custkey as varchar), 9, '0'))""", "reviews"))
 def batch_recommend(spark, sf_dir):
     train, _, lists = _top_lists(spark, sf_dir)
-    users = tv.table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("A"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("reviewerID")
-    )
+    users = customers(spark, sf_dir)
     out = recommend.batch_recommend(users, lists, recommend.top_products(train, 5, by=None), 5)
     return out.withColumn("recommendations", F.concat_ws(",", "recommendations"))
 
@@ -318,7 +316,14 @@ def similar_users(spark, sf_dir):
 # --- factor models: no SQL twin, checked by invariants and small brute-force fixtures ---------
 
 
-def _als(spark, sf_dir):
+def customers(spark, sf_dir):
+    """All customers under their reviewer names, with and without reviews."""
+    return tv.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("A"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("reviewerID")
+    )
+
+
+def train_als(spark, sf_dir):
     train, test = recommend.hash_split(tv.reviews(spark, sf_dir), KEYS)
     indexed = factors.index_ratings(recommend.interactions(train, ORDER))
     return factors.train_als(indexed, rank=10, iters=10, reg=0.1), train, test, indexed
@@ -326,7 +331,7 @@ def _als(spark, sf_dir):
 
 @catalog.add("als_metrics")
 def als_metrics(spark, sf_dir):
-    model, _, test, _ = _als(spark, sf_dir)
+    model, _, test, _ = train_als(spark, sf_dir)
     return regression_metrics(factors.predict(model, test), "overall")
 
 
@@ -357,7 +362,7 @@ def als_reloaded(spark, sf_dir):
 
 @catalog.add("als_topk")
 def als_topk(spark, sf_dir):
-    return factors.recommend_all(_als(spark, sf_dir)[0], 10)
+    return factors.recommend_all(train_als(spark, sf_dir)[0], 10)
 
 
 @catalog.add("als_checks", sql("""
@@ -388,7 +393,7 @@ def als_checks(spark, sf_dir):
 
 @catalog.add("als_for_users")
 def als_for_users(spark, sf_dir):
-    model, _, test, _ = _als(spark, sf_dir)
+    model, _, test, _ = train_als(spark, sf_dir)
     return factors.recommend_for(model, test.select("reviewerID"), 10)
 
 
@@ -401,17 +406,15 @@ def als_grid(spark, sf_dir):
 
 @catalog.add("embedding_lookup")
 def embedding_lookup(spark, sf_dir):
-    model, _, _, _ = _als(spark, sf_dir)
-    users = tv.table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("A"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("reviewerID")
-    )
+    model, _, _, _ = train_als(spark, sf_dir)
+    users = customers(spark, sf_dir)
     return factors.embeddings(model.users, users, "reviewerID", model.rank)
 
 
 @catalog.add("svd_topk")
 def svd_topk(spark, sf_dir):
     indexed = factors.index_ratings(recommend.interactions(tv.reviews(spark, sf_dir), ORDER))
-    model, _ = factors.train_svd(indexed, k=10)
+    model, _ = factors.train_svd(indexed)
     return factors.recommend_all(model, 10).withColumn("predicted_rating", factors.clip_rating(F.col("score")))
 
 
@@ -433,9 +436,7 @@ def ncf_predict(spark, sf_dir):
 def ncf_topk(spark, sf_dir):
     df = tv.reviews(spark, sf_dir)
     model = factors.train_ncf(df, order=ORDER)
-    users = tv.table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("A"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("reviewerID")
-    )
+    users = customers(spark, sf_dir)
     return factors.ncf_recommend(model, factors.ncf_candidates(df, users), users, 10)
 
 

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewmill.operators import experiments, ordered
 from reviewmill.sources import writers
 
+#: Size of a quantile sketch, and the rank error of a mark read from it (99 % sure, also after merging).
+SKETCH_K = 2048
+SKETCH_RANK_ERROR = 0.002
+
 #: An end-of-input marker lies this long after the newest event; more than a window and the allowed lateness.
 GAP = "3 days"
 
@@ -80,6 +84,38 @@ def percentile_windows(events: DataFrame, window: str, lateness: str, accuracy:
     )
 
 
+def sketch_windows(events: DataFrame, window: str, lateness: str, k: int = SKETCH_K) -> DataFrame:
+    """Per window: count, total and a quantile sketch of the value, all of which add up over windows."""
+    return (
+        events.withWatermark("ts", lateness)
+        .groupBy(F.window("ts", window))
+        .agg(
+            F.count("value").alias("n"),
+            F.sum("value").alias("total"),
+            F.kll_sketch_agg_double("value", k).alias("sketch"),
+        )
+        .select(F.unix_seconds("window.start").alias("window_start"), "n", "total", "sketch")
+    )
+
+
+def merged_percentiles(table: DataFrame, keys: Sequence[str], k: int = SKETCH_K) -> DataFrame:
+    """(keys, n, mean, p95, p99) over any grouping of stored windows, without their rows.
+
+    Sketches merge like sums, on the map side first. A group without values has null marks.
+    """
+    merged = table.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.sum("total").alias("__total"),
+        F.kll_merge_agg_double(F.when(F.col("n") > 0, F.col("sketch")), k).alias("__s"),
+    )
+
+    def mark(share: float) -> Column:
+        return F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("__s", F.lit(share)))
+
+    return merged.select(
+        *keys, "n", F.try_divide("__total", "n").alias("mean"), mark(0.95).alias("p95"), mark(0.99).alias("p99")
+    )
+
+
 def run_to_end(
     spark: SparkSession,
     folder: str,
@@ -192,6 +228,13 @@ def value_percentiles_to_end(
     return run_to_end(spark, folder, lambda e: percentile_windows(e, window, lateness), out, checkpoint, GAP, **source)
 
 
+def value_sketches_to_end(
+    spark: SparkSession, folder: str, out: str, checkpoint: str, window: str = "1 day", lateness: str = "1 hour", **source
+) -> DataFrame:
+    """The stored sketches of a finished input, one row per window."""
+    return run_to_end(spark, folder, lambda e: sketch_windows(e, window, lateness), out, checkpoint, GAP, **source)
+
+
 def stream_value_percentiles(
     spark: SparkSession, folder: str, out: str, checkpoint: str, window: str = "1 day", lateness: str = "1 hour", **source
 ) -> DataFrame:

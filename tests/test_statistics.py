@@ -179,3 +179,32 @@ def test_ks_of_small_samples_is_exact(spark):
     assert row.ks_statistic == 1.0 and row.ks_pvalue == pytest.approx(2 / 35)
     many = spark.range(10_001).select(F.col("id").cast("double").alias("v"))
     assert drift.ks_drift(many, right, ["v"]).first().ks_pvalue == pytest.approx(0.0050, abs=0.002)
+
+
+def test_saved_test_is_closed_once_and_keeps_other_writers(spark, tmp_path, monkeypatch):
+    from reviewmill.operators import experiments
+    from reviewmill.sources import writers
+
+    path = str(tmp_path / "tests")
+    schema = "test_id string, status string, stopped_at string, overall_status string"
+    writers.write_table(spark.createDataFrame([("a", "active", None, None), ("b", "active", None, None)], schema), path)
+    log = spark.createDataFrame(
+        [("m", g, f"{g}{i}", float(i + (100 if g == "B" else 0))) for g in "AB" for i in range(40)],
+        "metric string, `group` string, user_id string, value double",
+    )
+    publish, calls = writers.write_table, []
+
+    def raced(df, where, **more):
+        # Another writer adds a test between the reading and the commit.
+        if not calls:
+            calls.append(1)
+            writers.append_table(spark.createDataFrame([("c", "active", None, None)], schema), where)
+        return publish(df, where, **more)
+
+    monkeypatch.setattr(writers, "write_table", raced)
+    experiments.close_saved_test(log, path, "a", "2024-02-01", min_sample=10)
+    experiments.close_saved_test(log, path, "a", "2024-03-01", min_sample=1000)
+    rows = {r.test_id: (r.status, r.stopped_at, r.overall_status) for r in writers.read_table(spark, path).collect()}
+    assert rows == {
+        "a": ("stopped", "2024-02-01", "significant_results"), "b": ("active", None, None), "c": ("active", None, None)
+    }

@@ -57,3 +57,21 @@ def test_metric_log_counts_events_once(spark, tmp_path):
     for path in (last, last.with_name(f".{last.name}.crc")):
         path.unlink(missing_ok=True)
     assert sorted(r.event_id for r in streams.stream_metric_log(spark, src, table, state, "t").collect()) == [1, 2, 3, 5, 6]
+
+
+def test_sketches_merge_over_any_range(spark, tmp_path):
+    """Two days of skewed sizes and one without values: merged marks keep their bound on all rows."""
+    src = str(tmp_path / "src")
+    low = [event(i, "2024-01-01 10:00:00", float(i)) for i in range(20_000)]
+    high = [event(i, "2024-01-02 10:00:00", 20_000.0 + i) for i in range(1_000)]
+    put(spark, low + high + [event(-1, "2024-01-03 10:00:00", None)], src)
+    table = streams.value_sketches_to_end(spark, src, str(tmp_path / "out"), str(tmp_path / "state"))
+    assert sorted(r.n for r in table.collect()) == [0, 1_000, 20_000]
+    row = streams.merged_percentiles(table, []).first()
+    assert row.n == 21_000 and row.mean == sum(range(21_000)) / 21_000
+    for mark, share in ((row.p95, 0.95), (row.p99, 0.99)):
+        assert abs(mark / 21_000 - share) <= streams.SKETCH_RANK_ERROR
+    days = {r.window_start: r for r in streams.merged_percentiles(table, ["window_start"]).collect()}
+    empty = days[max(days)]
+    assert empty.n == 0 and empty.mean is None and empty.p95 is None
+    assert days[min(days)].p99 < 20_000
