@@ -435,7 +435,7 @@ def ncf_predict(spark, sf_dir):
 @catalog.add("ncf_topk")
 def ncf_topk(spark, sf_dir):
     df = tv.reviews(spark, sf_dir)
-    model = factors.train_ncf(df, order=ORDER)
+    model = factors.train_ncf(df, rank=8, most=6, order=ORDER)
     users = customers(spark, sf_dir)
     return factors.ncf_recommend(model, factors.ncf_candidates(df, users), users, 10)
 
