@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folder of stored tables below the shared one, and the folders that this thread's earlier steps have left.
+_FOLDER: ContextVar[str] = ContextVar("folder", default="tables")
+_LEFT: ContextVar[tuple[str, ...]] = ContextVar("left", default=())
+
 
 def build_session(app: str = "reviewmill", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every job here expects.
@@ -58,12 +66,43 @@ def materialise(df: DataFrame) -> DataFrame:
     its file sizes let the planner decide on broadcasts from facts.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{_FOLDER.get()}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def step_tables(df: DataFrame, first: bool = False) -> Iterator[None]:
+    """One of several steps in a row: its intermediate tables lie in a folder of their own, those of the steps before go.
+
+    Each step's result must be stored before the next step begins with it as ``df``. A folder that ``df`` reads
+    stays until it no longer does. The ``first`` step starts a new row and deletes nothing. Shuffle files of earlier
+    jobs are deleted by Spark once their frames are collected as garbage, which is asked for here.
+    """
+    spark = df.sparkSession
+    left = () if first else _LEFT.get()
+    read = df.inputFiles() if left else []
+    stay = tuple(name for name in left if any(f"/{name}/" in file for file in read))
+    for name in left:
+        if name not in stay:
+            _delete(spark, f"{shared_folder(spark)}/{name}")
+    if left:
+        gc.collect()
+        spark._jvm.System.gc()
+    own = f"tables/step-{uuid.uuid4().hex}"
+    _LEFT.set((*stay, own))
+    token = _FOLDER.set(own)
+    try:
+        yield
+    finally:
+        _FOLDER.reset(token)
+
+
 def drop_intermediate(spark: SparkSession) -> None:
     """Deletes this application's intermediate tables; frames built on them are gone afterwards."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tables")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, f"{shared_folder(spark)}/tables")
