@@ -466,18 +466,17 @@ def ncf_recommend(model: Neural, candidates: DataFrame, users: DataFrame, k: int
     own = ncf_predict(model, known).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "reviewerID", "asin", F.col("probability").alias("score"), "rank", F.lit("model").alias("method")
     )
+    return own.unionByName(popular_lists(model, users, k))
+
+
+def popular_lists(model: Neural, users: DataFrame, k: int) -> DataFrame:
+    """The k most popular items for each of ``users`` that the model does not know."""
+    asked = users.select("reviewerID").distinct()
     strangers = asked.join(model.factors.users.select("reviewerID"), "reviewerID", "left_anti")
     listed = model.popular.filter(F.col("rank") <= k).agg(F.collect_list(F.struct("asin", "rank")).alias("__l"))
-    fallback = attach_totals(strangers, listed).select("reviewerID", F.explode("__l").alias("__i")).select(
+    return attach_totals(strangers, listed).select("reviewerID", F.explode("__l").alias("__i")).select(
         "reviewerID", "__i.asin", F.lit(0.5).alias("score"), "__i.rank", F.lit("popular").alias("method")
     )
-    return own.unionByName(fallback)
-
-
-def ncf_candidates(df: DataFrame, users: DataFrame) -> DataFrame:
-    """(reviewerID, asin): every product of ``df`` for each of ``users`` that has reviewed anything."""
-    known = users.select("reviewerID").distinct().join(df.select("reviewerID"), "reviewerID", "left_semi")
-    return known.crossJoin(df.select("asin").filter("asin is not null").distinct())
 
 
 # --- saving ---------------------------------------------------------------------------------

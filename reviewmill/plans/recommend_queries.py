@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.operators import factors, layout, recommend
+from reviewmill.operators import factors, layout, neural_topk, recommend
 from reviewmill.operators.joins import attach_totals
 from reviewmill.operators.metrics import regression_metrics
 from reviewmill.plans.etl_queries import TIES_DESC
@@ -436,8 +436,34 @@ def ncf_predict(spark, sf_dir):
 def ncf_topk(spark, sf_dir):
     df = tv.reviews(spark, sf_dir)
     model = factors.train_ncf(df, rank=8, most=6, order=ORDER)
-    users = customers(spark, sf_dir)
-    return factors.ncf_recommend(model, factors.ncf_candidates(df, users), users, 10)
+    return neural_topk.ncf_recommend_all(model, customers(spark, sf_dir), 10)
+
+
+@catalog.add("ncf_topk_checks", sql("""
+select case when r.id is null then 'popular' else 'model' end as method, count(*) as users, count(*) * 10 as rows,
+  true as ranks_dense, true as scores_fall, 0::bigint as seen
+from (select concat('A', lpad(c_custkey::varchar, 9, '0')) as id from customer) c
+left join (select distinct "reviewerID" as id from reviews) r on r.id = c.id group by 1""", "reviews"))
+def ncf_topk_checks(spark, sf_dir):
+    """What must hold for the neural lists: ten unseen products for every customer, the most popular ones for unknown customers."""
+    df = tv.reviews(spark, sf_dir)
+    model = factors.train_ncf(df, rank=8, most=1, order=ORDER)
+    lists = materialise(neural_topk.ncf_recommend_all(model, customers(spark, sf_dir), 10))
+    scores_of = F.transform(F.sort_array(F.collect_list(F.struct("rank", "score"))), lambda x: x["score"])
+    per_user = lists.groupBy("method", "reviewerID").agg(
+        F.count(F.lit(1)).alias("n"), F.min("rank").alias("low"), F.max("rank").alias("high"),
+        F.count_distinct("asin").alias("items"), scores_of.alias("scores"),
+    )
+    again = lists.join(df.select("reviewerID", "asin").distinct(), ["reviewerID", "asin"], "left_semi")
+    seen = again.groupBy("method").agg(F.count(F.lit(1)).alias("seen"))
+    dense = (F.col("low") == 1) & (F.col("high") == 10) & (F.col("n") == 10) & (F.col("items") == 10)
+    facts = per_user.groupBy("method").agg(
+        F.count(F.lit(1)).alias("users"), F.sum("n").alias("rows"), F.bool_and(dense).alias("ranks_dense"),
+        F.bool_and(F.col("scores") == F.reverse(F.array_sort("scores"))).alias("scores_fall"),
+    )
+    return facts.join(seen, "method", "left").select(
+        "method", "users", "rows", "ranks_dense", "scores_fall", F.coalesce("seen", F.lit(0)).cast("long").alias("seen")
+    )
 
 
 # --- layout and join shapes -----------------------------------------------------------------
