@@ -112,6 +112,17 @@ def test_machine_has_biases(spark, ratings, als):
     assert got["U03"] == pytest.approx(want) and got["nobody"] == got[None] == 3.0
 
 
+def test_machine_without_arrow(spark, ratings):
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
+    try:
+        model = factors.train_fm(
+            factors.index_ratings(ratings.select("reviewerID", "asin", "overall")), rank=2, iters=2
+        )
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+    assert model.users.count() == 40 and {len(r.vec) for r in model.items.collect()} == {2}
+
+
 def test_machine_refuses_what_does_not_fit(ratings, monkeypatch):
     monkeypatch.setattr(factors, "FM_NUMBERS", 100)
     with pytest.raises(ValueError, match="too many"):
