@@ -18,8 +18,9 @@ A group of n near copies would give n * n pairs, so links are found in two steps
 every point goes with its set to one of its tiles (another one each round) if points of
 different components meet there; inside a tile only pairs of different components are compared, and a link joins them at
 once. A crowded tile is split; some of its points go to all parts and tie them together. *Completion*: all
-tiles in which components still meet; pairs of different components that pass the bound are
-collected and intersected. What is emitted are pairs between what is left, not inside groups.
+tiles in which components still meet, by signatures first. Points that are held together by pairs of different
+components within the bound make a group, whose sets are then compared as in a tile of the contraction: rows are points of groups
+and links that join components, never all pairs of a group.
 
 Defined cases: texts without words (null too) have an empty set and are alone; rows with equal or null ids are
 documents of their own (see ``keyed``), a component is named by its least id, null if it has none; an
@@ -48,6 +49,8 @@ BITS, LEAST_BITS, MOST_BITS = 2, 64, 1 << 16
 ROUNDS, TILE, HUBS = 3, 512, 48
 #: Bytes of sets that a tile holds at most, on average.
 TILE_BYTES = 4 << 20
+#: The same for tiles of the completion, which holds sets only where signatures leave pairs open.
+GROUP_BYTES = 32 << 20
 #: Bits of the bitmap over the rows whose sets are wanted, as a power of two.
 FILTER_BITS = 26
 #: Tasks that the rows of one point or component may be dealt to.
@@ -378,12 +381,17 @@ def _signatures(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def candidates(live: DataFrame, sets: DataFrame, labels: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
-    """(a, b), a < b: pairs of different components that share a tile and pass the bounds."""
-    cells = live.join(labels, "node")
+    """(unit, node, label): groups of points of one tile that pairs which pass the bounds hold together.
+
+    A group has a row per point and not per pair; equal groups of several tiles are one unit.
+    """
+    sizes = sets.select("node", F.octet_length("grams").alias("bytes"))
+    cells = live.join(labels, "node").join(sizes, "node")
     # Tiles where components meet, and how far they have to be split.
     crowds = cells.groupBy("cell").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("held")
-    ).filter("lo <> hi").select("cell", F.ceil(F.col("held") / tile).cast("int").alias("tiles"))
+        F.min("label").alias("lo"), F.max("label").alias("hi"),
+        F.greatest(F.ceil(F.count("*") / tile), F.ceil(F.sum("bytes") / GROUP_BYTES)).cast("int").alias("tiles"),
+    ).filter("lo <> hi").select("cell", "tiles")
     own = F.pmod(F.xxhash64("node"), F.col("tiles").cast("long")).cast("int")
     dealt = cells.join(crowds, "cell").select("node", "label", "cell", "tiles", own.alias("own")).select(
         "*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
@@ -396,27 +404,33 @@ def candidates(live: DataFrame, sets: DataFrame, labels: DataFrame, percent: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, ["unit", "side", "node", "label", "n", "bits"]):
-            yield _pairs(open_in_tile(*zip(*[r[1:] for r in rows]), percent))
+            for node, label in open_groups(*zip(*[r[1:] for r in rows]), percent):
+                unit = np.full(len(node), name_of(node))
+                yield common.columns_to_batch("unit,node,label", unit, node, label)
 
     dealt = units.join(signs, "node").repartition("unit").sortWithinPartitions("unit", "side", "node")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "unit long, node long, label long").distinct()
 
 
-def open_in_tile(side, node, label, size, bits, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Pairs of different labels that pass the bounds; with two sides, pairs across them only."""
+def open_groups(side, node, label, size, bits, percent: int = PERCENT) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(nodes, labels) of each component of the pairs of different labels that pass the bounds; with two sides, pairs across them only."""
     order = sorted(range(len(node)), key=lambda k: (size[k], node[k]))
     side, node, label, size = (np.array([x[k] for k in order], np.int64) for x in (side, node, label, size))
     maps = [np.frombuffer(bits[k], np.uint64) for k in order]
-    bitmaps, two, out = _stacked(maps, size, made=True), bool(side.max()), []
+    bitmaps, two, trees = _stacked(maps, size, made=True), bool(side.max()), Trees(np.arange(len(node)))
     ends = np.searchsorted(size, size * 100 // percent, "right")
     for i in range(len(node)):
         others = np.arange(i + 1, ends[i])
-        others = others[label[others] != label[i]]
+        # Points that hang together already belong to one group anyway.
+        others = others[(label[others] != label[i]) & (trees.tree[others] != trees.tree[i])]
         if two:
             others = others[side[others] != side[i]]
-        if len(others):
-            out += [(min(int(node[i]), j), max(int(node[i]), j)) for j in node[open_pairs(size, bitmaps, i, others, percent)].tolist()]
-    return out
+        for j in open_pairs(size, bitmaps, i, others, percent).tolist() if len(others) else ():
+            trees.join(i, j)
+    held = np.argsort(trees.tree, kind="stable")
+    parts = np.split(held, np.flatnonzero(np.diff(trees.tree[held])) + 1)
+    parts = [x[np.argsort(node[x])] for x in parts if len(x) > 1]
+    return [(node[x], label[x]) for x in parts]
 
 
 def verified(sets: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -454,7 +468,8 @@ def roots(
         labels = materialise(sets.select("node").join(found, "node", "left").select(
             "node", F.coalesce("root", "node").alias("label")
         ))
-    fresh = materialise(verified(sets, materialise(candidates(live, sets, labels, percent, tile)), percent))
+    groups = counted(materialise(candidates(live, sets, labels, percent, tile)))
+    fresh = materialise(_in_tiles(sets.join(groups, "node"), percent))
     if found is not None and not fresh.limit(1).count():
         return found
     return connected(fresh if links is None else links.unionByName(fresh))
