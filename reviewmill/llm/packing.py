@@ -73,13 +73,17 @@ class WordEncoder:
         specials = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
         self.special_ids = {name: np.array([i], "<u4").tobytes() for name, i in specials.items()}
         self.specials = re.compile(b"(" + b"|".join(map(re.escape, specials)) + b")") if specials else None
-        self.tokenizer.encode_special_tokens = True
         self.memo: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.mark = self._plain(_MARK)[0]
 
     def _plain(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        """Ids of text whose special strings are ordinary; the tokenizer itself stays as it was loaded."""
+        self.tokenizer.encode_special_tokens = True
+        try:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        finally:
+            self.tokenizer.encode_special_tokens = False
 
     def _learn(self, parts: list[bytes]) -> None:
         """Encodes unseen parts, many in one call with a mark between them."""
