@@ -71,6 +71,16 @@ def test_svd_matches_numpy(ratings):
     assert pred[0] >= 1 and pred[1] <= 5
 
 
+def test_vectors_are_not_broadcast(spark, ratings):
+    """A product joins vectors by a shuffle: the planner's size of them leaves out how long they are."""
+    indexed = factors.index_ratings(ratings.select("reviewerID", "asin", "overall"))
+    start = F.transform(F.sequence(F.lit(0), F.lit(59)), lambda j: (j + 0.5) * F.col("item"))
+    product = factors._multiply(indexed.ratings, indexed.items.select("item", start.alias("vec")), "item", "user")
+    assert product.count() == 40
+    plan = product._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_neural_scores_and_seen_items(spark, ratings, tmp_path):
     model = factors.train_ncf(ratings, rank=4, layers=(8, 4), most=2)
     users = spark.createDataFrame([("U00",), ("U01",), ("nobody",)], "reviewerID string")
