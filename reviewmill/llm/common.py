@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,12 +24,21 @@ def fold(key: Column, folds: int) -> Column:
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(folds))
 
 
-
-
 #: What operators keep in a worker between tasks, with the call that lets go of it.
 _KEPT: dict[str, Callable[[], None]] = {}
 
 
+#: The C library's call that gives freed memory back to the system, where there is one (glibc).
+_GIVE_BACK = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Returns to the system what Arrow and the C library hold but no longer use."""
+    pa.default_memory_pool().release_unused()
+    if _GIVE_BACK is not None:
+        _GIVE_BACK(0)
+
+
 def keep(owner: str, let_go: Callable[[], None]) -> None:
     _KEPT[owner] = let_go
 
@@ -36,11 +46,13 @@ def keep(owner: str, let_go: Callable[[], None]) -> None:
 def steps(batches: Iterator[pa.RecordBatch], column: str = "text", owner: str = "") -> Iterator[pa.RecordBatch]:
     """Cuts record batches into pieces of about ``STEP_BYTES`` of text, at row borders.
 
-    Workers outlive tasks: what another operator has kept in this one is let go first.
+    Workers outlive tasks: what another operator has kept in this one is let go first, and memory that is free goes
+    back to the system before and after the task, since idle workers count as well.
     """
     for name, let_go in _KEPT.items():
         if name != owner:
             let_go()
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -51,6 +63,8 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", owner: str =
         cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+    batch = None
+    give_back()
 
 
 def raw_texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:

@@ -204,6 +204,25 @@ def test_best_fit_keeps_every_capacity(rule):
         assert starts[0] == 0 and len(np.unique(starts)) == len(starts)
 
 
+def test_ends_of_words_are_learnt_once(monkeypatch):
+    """Punctuation behind letters brings no spelling of its own to the tokenizer, and no id changes."""
+    import public_tokenizers
+
+    ends = [".", ",", ".&&&", "!?", "...", ");", "'", "'s", "|", ".|", "~~", "_", "\u00b2.", "\u0301.", "<|endoftext|>"]
+    stems = ["word", "\u00c9t\u00e9", "\u0391\u03a3", "\u00df", "x9", "9", "", "-a"]
+    texts = [" ".join(s + e for s in stems for e in ends), *(s + e + "  " + e + s for s in stems for e in ends)]
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    plain = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    got = [np.frombuffer(encoder.encode_all([t.encode()])[0], "<u4").tolist() for t in texts]
+    assert got == [e.ids for e in plain]
+    asked = []
+    fresh = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    tell = fresh._plain
+    monkeypatch.setattr(fresh, "_plain", lambda text: asked.extend(text.split(" | ")) or tell(text))
+    fresh.encode_all([b"word. word, word! word.&&& word); word"])
+    assert sorted(asked) == sorted(["word", ".", ",", "!", ".&&&", ");"])
+
+
 def test_memo_limit_does_not_change_ids(monkeypatch):
     import public_tokenizers
 
