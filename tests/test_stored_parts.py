@@ -1,7 +1,9 @@
 """Work on the reviews is done once, by one stored table."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from reviewmill.operators import recommend
 from reviewmill.plans import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -11,3 +13,16 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_lists_read_the_reviews_from_one_stored_table(spark, name):
     files = catalog.queries()[name](spark, SF_DIR).inputFiles()
     assert files and not [f for f in files if "lineitem" in f]
+
+
+def test_routed_users_are_hashed_once_each(spark):
+    lines = spark.range(400).select(F.format_string("u%02d", F.col("id") % 7).alias("reviewerID"), F.col("id").alias("line"))
+    users = lines.select("reviewerID").distinct().withColumn("group", F.when(F.md5("reviewerID") < "8", "A").otherwise("B"))
+    items = spark.range(9).select(F.concat(F.lit("i"), "id").alias("asin"))
+    recs = users.select("reviewerID", F.lit("i1").alias("asin"), F.lit(1).alias("rank"))
+    out = recommend.route_recommendations(users, recs, items, 3)
+    first = users.select("group", "reviewerID").collect()
+    want = {(u, "random" if g == "A" else "model", 3 if g == "A" else 1) for g, u in first}
+    got = out.groupBy("reviewerID", "source").count().collect()
+    assert {tuple(r) for r in got} == want
+    assert "md5" not in out.filter("source = 'model'")._jdf.queryExecution().optimizedPlan().toString()
