@@ -1,4 +1,4 @@
-"""Work on the reviews is done once, by one stored table."""
+"""Work on the reviews is done once, and vectors travel once per recommended item."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,3 +26,15 @@ def test_routed_users_are_hashed_once_each(spark):
     got = out.groupBy("reviewerID", "source").count().collect()
     assert {tuple(r) for r in got} == want
     assert "md5" not in out.filter("source = 'model'")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_vector_diversity_sends_no_row_per_component(spark):
+    vecs = {1: [3.0, 0.0], 2: [0.0, 2.0], 3: [0.0, 0.0], 4: [1.0, None], 5: None}
+    vectors = spark.createDataFrame(list(vecs.items()), "item long, vec array<float>")
+    recs = spark.createDataFrame(
+        [("a", 1), ("a", 2), ("b", 1), ("b", 1), ("c", 1), ("c", 3), ("c", 4), ("d", 1), ("d", 5), ("e", 3), ("e", 3)],
+        "reviewerID string, item long",
+    )
+    out = recommend.diversity(recs, vectors, item="item")
+    assert {r[0]: round(r[1], 9) for r in out.collect()} == {"a": 1.0, "b": 0.0, "c": round(1 - 1 / 3, 9), "e": 1.0}
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
