@@ -156,6 +156,8 @@ def text_summary(df: DataFrame, length: str = "review_length", words: str = "rev
 
 def quality_report(df: DataFrame, name: str) -> DataFrame:
     """All sections of the report for one dataset as (dataset, section, key, value)."""
+    # Stored once: every section passes over it.
+    df = materialise(df)
     complete = completeness(df).select(
         F.lit("completeness").alias("section"), F.col("column").alias("key"), F.col("completeness_rate").alias("value")
     )
