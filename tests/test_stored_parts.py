@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from reviewmill.operators import recommend
+from reviewmill.operators import enrich, recommend
 from reviewmill.plans import catalog
+from reviewmill.sources import testviews
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -38,3 +39,26 @@ def test_vector_diversity_sends_no_row_per_component(spark):
     out = recommend.diversity(recs, vectors, item="item")
     assert {r[0]: round(r[1], 9) for r in out.collect()} == {"a": 1.0, "b": 0.0, "c": round(1 - 1 / 3, 9), "e": 1.0}
     assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_profile_makes_the_frame_once(spark):
+    files = testviews.profile(spark, SF_DIR).inputFiles()
+    assert files and not [f for f in files if "lineitem" in f or "documents" in f]
+
+
+@pytest.mark.parametrize("name", ["quality_report", "running_reviews"])
+def test_passes_over_the_reviews_read_a_stored_table(spark, name):
+    files = catalog.queries()[name](spark, SF_DIR).inputFiles()
+    assert files and not [f for f in files if "lineitem" in f]
+
+
+def test_running_count_takes_its_total_from_the_stored_counts(spark, tmp_path):
+    rows = [("a", 1), ("a", 1), ("a", 3), (None, 2), (None, None), ("b", None)]
+    df = spark.createDataFrame(rows, "reviewerID string, review_timestamp long")
+    df.write.parquet(f"{tmp_path}/rows")
+    out = enrich.running_reviews(spark.read.parquet(f"{tmp_path}/rows"))
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(
+        [("a", 1, 3), ("a", 1, 3), ("a", 3, 1), (None, 2, 1), (None, None, 2), ("b", None, 1)], key=repr
+    )
+    scans = [x for x in out._jdf.queryExecution().optimizedPlan().collectLeaves().mkString("\n").split("\n") if x.startswith("Relation")]
+    assert len(scans) == 3  # the rows, the counts twice
