@@ -66,7 +66,7 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return cells[first], np.minimum(np.add.reduceat(times, first), 2).astype(np.uint8) if len(first) else times[:0]
 
 
-def sketch_of(docs: DataFrame, grams_of: Callable[[pa.RecordBatch], np.ndarray], bits: int = SKETCH_BITS) -> bytes:
+def sketch_of(docs: DataFrame, grams_of: Callable[[pa.RecordBatch], np.ndarray], bits: int = SKETCH_BITS) -> bytearray:
     """The merged sketch of the anchors that ``grams_of`` finds: two bits per counter (0, 1, 2 or more), row after row."""
     width, slice_bits = 1 << bits, min(_SLICE_BITS, bits)
 
@@ -120,7 +120,7 @@ def sketch_of(docs: DataFrame, grams_of: Callable[[pa.RecordBatch], np.ndarray],
     # One row per slice: a fixed number of rows of a fixed size, whatever the input.
     for row in merged.toLocalIterator():
         out[row["slice"] * size : (row["slice"] + 1) * size] = row["counters"]
-    return bytes(out)
+    return out
 
 
 def _quads(number: int, counters: np.ndarray) -> pa.RecordBatch:
@@ -146,7 +146,7 @@ def earliest(h1: np.ndarray, h2: np.ndarray, key: np.ndarray, at: np.ndarray) ->
     return order, np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(order) else np.array([], bool)
 
 
-def _window_rows(docs: DataFrame, merged: bytes, window: int, gram: int, bits: int) -> DataFrame:
+def _window_rows(docs: DataFrame, merged: bytearray, window: int, gram: int, bits: int) -> DataFrame:
     """(h1, h2, key, at, n): candidate windows with n = 0, and runs of n places that their own task has settled."""
     shared = docs.sparkSession.sparkContext.broadcast(merged)
 

@@ -1,7 +1,9 @@
 """Intermediate tables of steps in a row."""
 
 import os
+from contextlib import nullcontext
 
+from reviewmill import session
 from reviewmill.session import materialise, shared_folder, step_tables
 
 
@@ -28,3 +30,15 @@ def test_tables_of_a_step_go_with_the_next(spark):
     with step_tables(stored, first=True):
         pass
     assert second in _folders(spark) and three.count() == 10
+
+
+def test_each_step_gives_the_drivers_memory_back(spark, monkeypatch):
+    calls = []
+    give_back = session._give_back
+    monkeypatch.setattr(session, "_give_back", lambda s: calls.append(give_back(s)))
+    monkeypatch.setattr(session, "suppress", lambda *_: nullcontext())  # the command is there and is reached
+    start = spark.range(3)
+    for first in (True, False):
+        with step_tables(start, first=first):
+            start = materialise(start)
+    assert calls == [None, None] and start.count() == 3
