@@ -167,3 +167,20 @@ def test_net_stops_and_goes_on(spark, tmp_path):
     # Labels without meaning are learnt by heart only: the validation loss rises and training stops.
     _, idle = factors.fit_net(_points(spark, noise[:200]), _points(spark, noise[200:]), [2, 16, 2], most=12, patience=2)
     assert len(idle) < 12 and not any(s.kept for s in idle[-2:])
+
+
+def test_machine_is_fitted_by_every_core(spark, monkeypatch):
+    from pyspark.ml.regression import FMRegressor
+
+    class Seen(Exception):
+        pass
+
+    def fit(self, rows):
+        raise Seen(rows.count(), rows.rdd.getNumPartitions())
+
+    monkeypatch.setattr(FMRegressor, "fit", fit)
+    pairs = [(f"U{u}", f"I{i}", float(1 + (u + i) % 5)) for u in range(20) for i in range(10)]
+    ratings = spark.createDataFrame(pairs, "reviewerID string, asin string, overall double").coalesce(1)
+    with pytest.raises(Seen) as told:
+        factors.train_fm(factors.index_ratings(ratings))
+    assert told.value.args == (200, spark.sparkContext.defaultParallelism)
