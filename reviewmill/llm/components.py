@@ -13,10 +13,13 @@ SLICES = 32
 
 
 def _with_least(edges: DataFrame, least: Column) -> DataFrame:
-    """Adds ``m``, the ``least`` of each node u, to its edges; only slices that a node has are sent to them."""
+    """Adds ``m``, the ``least`` of each node u, to its edges; only slices that a node has are sent to them.
+
+    The hint keeps the slices, of which the planner sees one per node, from being broadcast.
+    """
     sliced = edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SLICES)))
     found = sliced.groupBy("u").agg(least.alias("m"), F.collect_set("s").alias("slices"))
-    return sliced.join(found.select("u", "m", F.explode("slices").alias("s")), ["u", "s"])
+    return sliced.join(found.select("u", "m", F.explode("slices").alias("s")).hint("merge"), ["u", "s"])
 
 
 def connected(links: DataFrame) -> DataFrame:

@@ -187,11 +187,12 @@ def near_links(points: DataFrame, distance: int = DISTANCE, tile: int = TILE) ->
 
     cells = points.select("fp").mapInArrow(cells_of, "fp long, cell long")
     sizes = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
-    # A cell of one point has no pair. Other cells go to tiles; a unit is a tile or two tiles of one cell.
+    # A cell of one point has no pair. Other cells go to tiles; a unit is a tile or two tiles of one cell. The planner
+    # sizes the cells like the points, of which each has dozens: without the hint it may broadcast them all.
     tiles = F.ceil(F.col("n") / tile).cast("int")
     own = F.pmod(F.xxhash64("fp"), tiles.cast("long")).cast("int")
     units = (
-        cells.join(sizes, "cell")
+        cells.join(sizes.hint("merge"), "cell")
         .select("fp", "cell", tiles.alias("tiles"), own.alias("own"))
         .select("fp", "cell", "own", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
         .select(
