@@ -188,8 +188,11 @@ def _stacked(sets_or_maps: list[np.ndarray], size: np.ndarray, made: bool = Fals
 
 
 def counted(short: DataFrame) -> DataFrame:
-    """A stored table of short rows, marked for broadcast if its counted size allows."""
-    return F.broadcast(short) if short.count() <= BROADCAST_ROWS else short
+    """A stored table of short rows, marked for broadcast if its counted size allows, else for a shuffle.
+
+    Left alone the planner would take a file of short, well-packed rows for a small table and send it through the driver.
+    """
+    return F.broadcast(short) if short.count() <= BROADCAST_ROWS else short.hint("merge")
 
 
 def name_of(x: np.ndarray) -> int:
@@ -493,7 +496,7 @@ def classes(
         "point", F.coalesce("root", "node").alias("root"), F.explode("slices").alias("slice")
     )
     # An empty set is the name of no point.
-    return rows.join(materialise(named), ["point", "slice"], "left").select(
+    return rows.join(counted(materialise(named)), ["point", "slice"], "left").select(
         "node", "n", F.coalesce("root", "node").alias("root")
     )
 
