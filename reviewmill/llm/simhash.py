@@ -284,7 +284,7 @@ def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     texts (see ``keyed``); null ids come first.
     """
     keyed = with_key(docs)
-    found = materialise(tiles.classes(keyed, shingle, percent, rounds=2, first=proposed))
+    found = materialise(tiles.classes(keyed, shingle, percent, first=proposed))
     empty = found.filter("n = 0").agg(F.min("node")).first()[0]
     gone = F.col("node") != (F.when(F.col("n") == 0, F.lit(empty)).otherwise(F.col("root")))
     copies = materialise(found.filter(gone).select(F.col("node").alias(KEY)))
