@@ -1,8 +1,10 @@
 """Intermediate tables of steps in a row."""
 
 import os
+import time
 from contextlib import nullcontext
 
+from pyspark.sql import functions as F
 from reviewmill import session
 from reviewmill.session import materialise, shared_folder, step_tables
 
@@ -42,3 +44,21 @@ def test_each_step_gives_the_drivers_memory_back(spark, monkeypatch):
         with step_tables(start, first=first):
             start = materialise(start)
     assert calls == [None, None] and start.count() == 3
+
+
+def test_stored_table_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (found.apply(n).getName() for n in range(found.size()))
+        return {name.split("_")[1] for name in names if name.startswith("shuffle_")}
+
+    before, setting = files(), session.materialise(spark.range(10)).sparkSession.conf.get(session._CLEANUP)
+    df = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    assert session.materialise(df.join(df.withColumnRenamed("count", "n"), "k")).count() == 10
+    fresh = files() - before
+    end = time.time() + 10
+    while len(fresh & files()) > 1 and time.time() < end:
+        time.sleep(0.2)
+    # The count of the stored rows is a query of its own, with one shuffle.
+    assert len(fresh & files()) <= 1
+    assert spark.conf.get(session._CLEANUP) == setting == "false"
